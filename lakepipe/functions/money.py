@@ -14,17 +14,26 @@ from pyspark.sql import Column, functions as F
 _LARGEST_EXACT = 1e12
 
 
-def _minor_units(amount: Column, decimals: int) -> tuple[Column, Column]:
+def parts(amount: Column, name: str, decimals: int = 2) -> list[Column]:
+    """The aggregates ``<name>_units``, ``<name>_rest`` and ``<name>_count``; each may be summed further."""
     in_range = F.abs(amount) <= _LARGEST_EXACT
-    scaled = F.round(amount * 10**decimals).cast("bigint")
-    return F.when(in_range, scaled), F.when(~in_range, amount)
+    units = F.when(in_range, F.round(amount * 10**decimals).cast("bigint"))
+    return [
+        F.sum(units).alias(f"{name}_units"),
+        F.sum(F.when(~in_range, amount)).alias(f"{name}_rest"),
+        F.count(amount).alias(f"{name}_count"),
+    ]
+
+
+def total_of(units: Column, rest: Column, decimals: int = 2) -> Column:
+    exact = units / F.lit(float(10**decimals))
+    return F.coalesce(exact + rest, exact, rest)
 
 
 def total(amount: Column, decimals: int = 2) -> Column:
     """``sum(amount)``: NULL when there is no non-NULL amount, NaN when one of them is NaN."""
-    units, rest = _minor_units(amount, decimals)
-    exact = F.sum(units) / F.lit(float(10**decimals))
-    return F.coalesce(exact + F.sum(rest), exact, F.sum(rest))
+    units, rest, _ = parts(amount, "_", decimals)
+    return total_of(units, rest, decimals)
 
 
 def mean(amount: Column, decimals: int = 2) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakepipe.functions.bounds import quantile_bounds, with_buckets
@@ -53,29 +51,44 @@ def _f1(hits: Column, predicted: Column, actual: Column) -> Column:
     return F.coalesce(F.try_divide(2.0 * hits, (predicted + actual).cast("double")), F.lit(0.0))
 
 
-def f1_weighted(scored: DataFrame) -> DataFrame:
-    """One row ``f1_score``: the F1 of both classes, weighted by how many rows each class has."""
+def confusion(scored: DataFrame) -> DataFrame:
+    """One row: hits, predictions and rows of either class."""
     actual, predicted = F.col("label"), F.col("prediction")
-    counts = scored.agg(
-        F.count_if((actual == 1) & (predicted == 1)).alias("hit_1"),
-        F.count_if((actual == 0) & (predicted == 0)).alias("hit_0"),
-        F.count_if(predicted == 1).alias("pred_1"),
-        F.count_if(predicted == 0).alias("pred_0"),
-        F.count_if(actual == 1).alias("real_1"),
-        F.count_if(actual == 0).alias("real_0"),
-    )
+    counts = []
+    for c in (0, 1):
+        counts += [
+            F.count_if((actual == c) & (predicted == c)).alias(f"hit_{c}"),
+            F.count_if(predicted == c).alias(f"pred_{c}"),
+            F.count_if(actual == c).alias(f"real_{c}"),
+        ]
+    return scored.agg(*counts)
+
+
+def _rows() -> Column:
+    return (F.col("real_0") + F.col("real_1")).cast("double")
+
+
+def _f1_score() -> Column:
     parts = [F.col(f"real_{c}") * _f1(F.col(f"hit_{c}"), F.col(f"pred_{c}"), F.col(f"real_{c}")) for c in (0, 1)]
-    whole = (F.col("real_0") + F.col("real_1")).cast("double")
-    return counts.select(F.try_divide(parts[0] + parts[1], whole).alias("f1_score"))
+    return F.try_divide(parts[0] + parts[1], _rows())
+
+
+def _accuracy() -> Column:
+    return F.try_divide((F.col("hit_0") + F.col("hit_1")).cast("double"), _rows())
+
+
+def f1_weighted(scored: DataFrame) -> DataFrame:
+    """One row ``f1_score``: the F1 of both classes, weighted by how many rows each class has."""
+    return confusion(scored).select(_f1_score().alias("f1_score"))
 
 
 def accuracy(scored: DataFrame) -> DataFrame:
-    right = F.count_if(F.col("prediction") == F.col("label")).cast("double")
-    return scored.agg(F.try_divide(right, F.count(F.lit(1)).cast("double")).alias("accuracy"))
+    return confusion(scored).select(_accuracy().alias("accuracy"))
 
 
 def evaluate(scored: DataFrame) -> DataFrame:
     """(metric, value) rows for auc, f1_score and accuracy."""
-    single = [roc_auc(scored), f1_weighted(scored), accuracy(scored)]
-    rows = [m.select(F.lit(m.columns[0]).alias("metric"), F.col(m.columns[0]).alias("value")) for m in single]
-    return reduce(DataFrame.unionByName, rows)
+    counted = {"f1_score": _f1_score(), "accuracy": _accuracy()}
+    pairs = [F.struct(F.lit(name).alias("metric"), value.alias("value")) for name, value in counted.items()]
+    auc = roc_auc(scored).select(F.lit("auc").alias("metric"), F.col("auc").alias("value"))
+    return auc.unionByName(confusion(scored).select(F.inline(F.array(*pairs))))

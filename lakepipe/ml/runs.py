@@ -10,16 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakepipe.schemas import parse
 
-RUNS_DDL = "run_id string, run_name string, kind string, key string, value string, logged_at timestamp"
+ROW_DDL = "run_id string, run_name string, kind string, key string, value string"
+RUNS_DDL = f"{ROW_DDL}, logged_at timestamp"
 PRIORITY = ("random_forest", "logistic_regression")  # who wins a tie
 
 
-def run_rows(spark: SparkSession, run_id: str, run_name: str, kind: str, values: Mapping[str, object]) -> DataFrame:
-    rows = [(run_id, run_name, kind, key, None if value is None else str(value)) for key, value in values.items()]
-    plain = spark.createDataFrame(rows, "run_id string, run_name string, kind string, key string, value string")
-    return plain.withColumn("logged_at", F.current_timestamp())
-
-
 class RunLog:
     """Runs under one folder: the table in ``runs``, each run's model in ``models/<run_id>``, its scored test rows in ``scored/<run_id>``."""
 
@@ -30,15 +25,19 @@ class RunLog:
     def start(self) -> str:
         return uuid.uuid4().hex
 
-    def log(self, run_id: str, run_name: str, kind: str, values: Mapping[str, object]) -> None:
-        run_rows(self.spark, run_id, run_name, kind, values).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/runs"
-        )
-
-    def save_model(self, run_id: str, run_name: str, model: PipelineModel) -> str:
+    def log(self, run_id: str, run_name: str, **values: Mapping[str, object]) -> None:
+        """``values`` maps a kind (param, metric, model) to its keys and values."""
+        rows = [
+            (run_id, run_name, kind, key, None if value is None else str(value))
+            for kind, pairs in values.items()
+            for key, value in pairs.items()
+        ]
+        plain = self.spark.createDataFrame(rows, ROW_DDL).coalesce(1)
+        plain.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/runs")
+
+    def save_model(self, run_id: str, model: PipelineModel) -> str:
         uri = f"{self.root}/models/{run_id}"
         model.write().overwrite().save(uri)
-        self.log(run_id, run_name, "model", {"uri": uri})
         return uri
 
     def load_model(self, run_id: str) -> PipelineModel:
@@ -61,7 +60,7 @@ def metric_rows(runs: DataFrame) -> DataFrame:
 
 
 def compare(metrics: DataFrame, names: tuple[str, ...] = PRIORITY) -> DataFrame:
-    """One row per metric, one column per run name (the latest run would need distinct names)."""
+    """One row per metric, one column per run name (run names must be distinct)."""
     return metrics.groupBy("metric").pivot("run_name", list(names)).agg(F.first("value"))
 
 

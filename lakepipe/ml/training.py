@@ -76,13 +76,12 @@ def train_and_log(split: DataFrame, kind: str, log: RunLog, feature_set: str = f
         "train_size": sizes["train"],
         "test_size": sizes["test"],
     }
-    log.log(run_id, kind, "param", {**parameters(kind), **shape})
+    log.log(run_id, kind, param={**parameters(kind), **shape})
     columns = [*features.FEATURE_SETS[feature_set], "label"]
     model = fit(split.where("is_train").select(*columns), kind, feature_set, sizes["train"])
     scored = log.save_scored(run_id, apply(model, split.where("NOT is_train").select(*columns)))
     measured = {row["metric"]: row["value"] for row in metrics.evaluate(scored).collect()}
-    log.log(run_id, kind, "metric", measured)
-    log.save_model(run_id, kind, model)
+    log.log(run_id, kind, metric=measured, model={"uri": log.save_model(run_id, model)})
     return Trained(run_id, kind, model, measured)
 
 

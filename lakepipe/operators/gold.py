@@ -52,21 +52,48 @@ def product_performance(silver: DataFrame, cart_events: Sequence[str] = CART_EVE
 def user_features(
     silver: DataFrame, cart_events: Sequence[str] = CART_EVENTS, approximate: bool = False
 ) -> DataFrame:
-    """One row per user; missing numbers (NULL and NaN) are 0."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    """One row per user; missing numbers (NULL and NaN) are 0.
+
+    Two exact distinct counts in one aggregate would make Spark copy each row three times. Here
+    the rows are grouped per (user, day), carrying all other sums along, and once more, two columns
+    wide, per (user, product); both are stacked and added up per user. A user with a third of all
+    rows is spread over its days and products before it meets in one group, as partial sums.
+    """
     price = F.col("price")
-    spent = F.when(F.col("event_type") == PURCHASE, price).otherwise(0.0)
-    return (
-        silver.groupBy("user_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_events"),
-            events_of(PURCHASE).alias("purchases"),
-            events_of(VIEW).alias("views"),
-            events_of(*cart_events).alias("cart_adds"),
-            money.total(spent).alias("total_spent"),
-            money.mean(price).alias("avg_price"),
-            distinct("product_id").alias("unique_products"),
-            distinct("event_date").alias("active_days"),
+    sums = [
+        F.count(F.lit(1)).alias("total_events"),
+        events_of(PURCHASE).alias("purchases"),
+        events_of(VIEW).alias("views"),
+        events_of(*cart_events).alias("cart_adds"),
+        *money.parts(F.when(F.col("event_type") == PURCHASE, price).otherwise(0.0), "spent"),
+        *money.parts(price, "price"),
+    ]
+    if approximate:
+        per_user = silver.groupBy("user_id").agg(
+            *sums,
+            F.approx_count_distinct("product_id").alias("unique_products"),
+            F.approx_count_distinct("event_date").alias("active_days"),
         )
-        .fillna(0)
-    )
+    else:
+        per_day = silver.groupBy("user_id", "event_date").agg(*sums)
+        per_day = per_day.withColumn("active_days", F.col("event_date").isNotNull().cast("bigint")).drop("event_date")
+        per_product = (
+            silver.select("user_id", "product_id")
+            .distinct()
+            .select("user_id", F.col("product_id").isNotNull().cast("bigint").alias("unique_products"))
+        )
+        stacked = per_day.unionByName(per_product, allowMissingColumns=True)
+        added = [F.sum(c).alias(c) for c in stacked.columns if c != "user_id"]
+        per_user = stacked.groupBy("user_id").agg(*added)
+    price_total = money.total_of(F.col("price_units"), F.col("price_rest"))
+    return per_user.select(
+        "user_id",
+        "total_events",
+        "purchases",
+        "views",
+        "cart_adds",
+        money.total_of(F.col("spent_units"), F.col("spent_rest")).alias("total_spent"),
+        F.try_divide(price_total, F.col("price_count").cast("double")).alias("avg_price"),
+        "unique_products",
+        "active_days",
+    ).fillna(0)

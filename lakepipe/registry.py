@@ -16,7 +16,7 @@ from lakepipe.ml.training import train_all, train_and_log
 from lakepipe.operators import cleaning, gold, quality, reports
 from lakepipe.operators.zorder import zorder
 from lakepipe.plans.verify import layer_checks
-from lakepipe.session import scratch_dir
+from lakepipe.session import scratch_dir, written_once
 from lakepipe.sources import tables
 from lakepipe.sources.adapted import raw_events
 from lakepipe.sources.feed import read_csv_events, stamp_ingestion
@@ -81,11 +81,11 @@ def _rule_predictions(labelled: DataFrame) -> DataFrame:
     return as_predictions(split.hash_split(_price_rule(labelled)))
 
 
-def _rule_metrics(spark: SparkSession, sf_dir: str, purpose: str) -> DataFrame:
+def _rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, run_name, metric, value) of both rules, each scored once and written."""
     labelled = _labelled(spark, sf_dir)
-    log = runs.RunLog(spark, scratch_dir(spark, purpose))
-    users = _store(spark, purpose).publish(labelled, schemas.USERS)
+    log = runs.RunLog(spark, scratch_dir(spark, "rules"))
+    users = written_once(labelled, "labelled")
     measured = [
         metrics.evaluate(log.save_scored(name, rule(users))).select(
             F.lit(name).alias("run_id"), F.lit(name).alias("run_name"), "metric", "value"
@@ -258,30 +258,29 @@ def prediction_summary(spark, sf_dir):
     return reports.prediction_summary(_rule_predictions(_labelled(spark, sf_dir)))
 
 
-def _published_layers(spark: SparkSession, sf_dir: str, purpose: str) -> dict[str, DataFrame]:
-    """The six tables, each written once; predictions by rule."""
-    store = _store(spark, purpose)
-    bronze = store.publish(raw_events(spark, sf_dir), schemas.BRONZE)
-    silver = store.publish(cleaning.clean(bronze), schemas.SILVER)
-    users = store.publish(gold.user_features(silver), schemas.USERS)
+def _layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six tables; those that others are made from are written once. Predictions by rule."""
+    bronze = written_once(raw_events(spark, sf_dir), "bronze")
+    silver = written_once(cleaning.clean(bronze), "silver")
+    users = written_once(gold.user_features(silver), "users")
     return {
         schemas.BRONZE: bronze,
         schemas.SILVER: silver,
-        schemas.DAILY: store.publish(gold.daily_revenue(silver), schemas.DAILY),
-        schemas.PRODUCTS: store.publish(gold.product_performance(silver), schemas.PRODUCTS),
+        schemas.DAILY: gold.daily_revenue(silver),
+        schemas.PRODUCTS: gold.product_performance(silver),
         schemas.USERS: users,
-        schemas.PREDICTIONS: store.publish(_rule_predictions(features.with_label(users)), schemas.PREDICTIONS),
+        schemas.PREDICTIONS: _rule_predictions(features.with_label(users)),
     }
 
 
 @query
 def layer_counts(spark, sf_dir):
-    return reports.layer_counts(_published_layers(spark, sf_dir, "counts"))
+    return reports.layer_counts(_layers(spark, sf_dir))
 
 
 @query
 def layer_verification(spark, sf_dir):
-    return layer_checks(_published_layers(spark, sf_dir, "checks"))
+    return layer_checks(_layers(spark, sf_dir))
 
 
 # --- labels, features, splits -------------------------------------------------------------------
@@ -314,7 +313,7 @@ def split_users(spark, sf_dir):
 
 @query
 def split_users_stratified(spark, sf_dir):
-    users = _store(spark, "split").publish(_users(spark, sf_dir), schemas.USERS)
+    users = written_once(_users(spark, sf_dir), "users")
     return split.stratified_split(features.with_label(users)).select("user_id", "label", "is_train")
 
 
@@ -328,8 +327,7 @@ def split_summary(spark, sf_dir):
 
 @query
 def metric_auc(spark, sf_dir):
-    users = _store(spark, "auc").publish(_labelled(spark, sf_dir), schemas.USERS)
-    return metrics.roc_auc(_price_rule(users))
+    return metrics.roc_auc(written_once(_price_rule(_labelled(spark, sf_dir)), "scored"))
 
 
 @query
@@ -344,12 +342,12 @@ def metric_accuracy(spark, sf_dir):
 
 @query
 def model_comparison(spark, sf_dir):
-    return runs.compare(_rule_metrics(spark, sf_dir, "compare"), tuple(RULES))
+    return runs.compare(_rule_metrics(spark, sf_dir), tuple(RULES))
 
 
 @query
 def select_best_run(spark, sf_dir):
-    return runs.best_run(_rule_metrics(spark, sf_dir, "best"), tuple(RULES))
+    return runs.best_run(_rule_metrics(spark, sf_dir), tuple(RULES))
 
 
 @query
@@ -358,29 +356,30 @@ def label_text(spark, sf_dir):
     return scored.select("user_id", "prediction", verdict(F.col("prediction")).alias("purchase_label"))
 
 
-def _train_once(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    store = _store(spark, kind)
-    users = store.publish(_users(spark, sf_dir), schemas.USERS)
-    labelled = store.publish(split.stratified_split(features.with_label(users)), "ml.labelled_users")
-    log = runs.RunLog(spark, f"{store.root}/ml")
-    train_and_log(labelled, kind, log, "reference")
+def _split_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled users with their part; written, since a fit passes over them many times."""
+    users = written_once(_users(spark, sf_dir), "users")
+    return written_once(split.stratified_split(features.with_label(users)), "split")
+
+
+def _trained(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    log = runs.RunLog(spark, scratch_dir(spark, kind))
+    train_and_log(_split_users(spark, sf_dir), kind, log, "reference")
     return log.table().where("kind <> 'model'").select("run_name", "kind", "key", "value")
 
 
 @query
 def ml_random_forest(spark, sf_dir):
-    return _train_once(spark, sf_dir, "random_forest")
+    return _trained(spark, sf_dir, "random_forest")
 
 
 @query
 def ml_logistic_regression(spark, sf_dir):
-    return _train_once(spark, sf_dir, "logistic_regression")
+    return _trained(spark, sf_dir, "logistic_regression")
 
 
 @query
 def ml_score_users(spark, sf_dir):
-    store = _store(spark, "score")
-    users = store.publish(_users(spark, sf_dir), schemas.USERS)
-    labelled = store.publish(split.stratified_split(features.with_label(users)), "ml.labelled_users")
-    log = runs.RunLog(spark, f"{store.root}/ml")
+    labelled = _split_users(spark, sf_dir)
+    log = runs.RunLog(spark, scratch_dir(spark, "models"))
     return score_users(log.load_model(train_all(labelled, log)), labelled)

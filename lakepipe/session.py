@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
@@ -43,6 +43,18 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/lakepipe/{purpose}-{uuid.uuid4().hex}"
 
 
+def written_once(frame: DataFrame, purpose: str) -> DataFrame:
+    """``frame`` as a table in the scratch folder.
+
+    For a frame several later steps read: none of them repeats its work, and an executor lost in
+    one of them costs no shuffle files of an earlier one.
+    """
+    spark = frame.sparkSession
+    path = scratch_dir(spark, purpose)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def stored_bytes(spark: SparkSession, path: str, pattern: str = "*.parquet") -> tuple[int, int]:
     """(files, bytes) under ``path``; the file contents are pruned, only the listing is read."""
     listing = (

@@ -9,12 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def _blank_every(step: int, value: Column) -> Column:
     return F.when(F.col("event_id") % step != 0, value)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
     product = F.get_json_object("props", "$.k").cast("bigint")
     day = F.dayofmonth("ts")
     kind = _blank_every(

@@ -28,23 +28,29 @@ class Store:
     def _log_path(self, table: str) -> str:
         return f"{self.root}/{table}/log"
 
-    def history(self, table: str) -> DataFrame:
-        """Newest first; empty for a table that was never published."""
+    def _log(self, table: str) -> DataFrame | None:
         try:
-            log = self.spark.read.schema(LOG_DDL).parquet(self._log_path(table))
+            return self.spark.read.schema(LOG_DDL).parquet(self._log_path(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return None
+
+    def history(self, table: str) -> DataFrame:
+        """Newest first; empty for a table that was never published."""
+        log = self._log(table)
+        if log is None:
             log = self.spark.createDataFrame([], parse(LOG_DDL))
         return log.orderBy(F.desc("version"))
 
-    def latest(self, table: str) -> int | None:
-        return self.history(table).agg(F.max("version")).first()[0]
+    def versions(self, table: str) -> list[int]:
+        log = self._log(table)
+        return [] if log is None else sorted(row["version"] for row in log.select("version").collect())
 
     def publish(self, frame: DataFrame, table: str, operation: str = "WRITE") -> DataFrame:
         """Write ``frame`` as the table's next version and return that version, read from its files."""
-        latest = self.latest(table)
-        version = 0 if latest is None else latest + 1
+        known = self.versions(table)
+        version = known[-1] + 1 if known else 0
         folder = self._folder(table, version)
         frame.write.mode("overwrite").parquet(folder)
         written = self.spark.read.schema(frame.schema).parquet(folder)
@@ -54,25 +60,23 @@ class Store:
             "numOutputRows": str(written.count()),  # answered from the file footers
             "numOutputBytes": str(size),
         }
-        row = self.spark.range(1).select(
+        row = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.current_timestamp().alias("timestamp"),
             F.lit(operation).alias("operation"),
             F.create_map(*[F.lit(x) for pair in metrics.items() for x in pair]).alias("operationMetrics"),
         )
-        row.coalesce(1).write.mode("append").parquet(self._log_path(table))
+        row.write.mode("append").parquet(self._log_path(table))
         return written
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
-        known = self.history(table)
-        if version is None:
-            version = known.agg(F.max("version")).first()[0]
-        if version is None or known.where(F.col("version") == version).isEmpty():
+        known = self.versions(table)
+        if not known or version is not None and version not in known:
             raise LookupError(f"{table} has no published version {'' if version is None else version}".rstrip())
-        return self.spark.read.parquet(self._folder(table, version))
+        return self.spark.read.parquet(self._folder(table, known[-1] if version is None else version))
 
     def register(self, table: str) -> None:
         """Point the catalog view ``schema.table`` at the newest version."""
-        folder = self._folder(table, self.latest(table))
+        folder = self._folder(table, self.versions(table)[-1])
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.split('.')[0]}")
         self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{folder}`")
