@@ -29,7 +29,8 @@ def quantile_bounds(frame: DataFrame, columns: list[str], buckets: int) -> list[
 
 def with_buckets(frame: DataFrame, bounds: dict[str, list[float]], suffix: str = "_bucket") -> DataFrame:
     """Add ``<column><suffix>``: the index of the range a value falls in (binary search in the JVM)."""
-    edges = [[float("-inf"), *cuts, float("inf")] for cuts in bounds.values()]
+    # Bucketizer wants two ranges at least, also for a column without values.
+    edges = [[float("-inf"), *(cuts or [0.0]), float("inf")] for cuts in bounds.values()]
     return Bucketizer(
         splitsArray=edges,
         inputCols=list(bounds),

@@ -17,7 +17,7 @@ _LARGEST_EXACT = 1e12
 def parts(amount: Column, name: str, decimals: int = 2) -> list[Column]:
     """The aggregates ``<name>_units``, ``<name>_rest`` and ``<name>_count``; each may be summed further."""
     in_range = F.abs(amount) <= _LARGEST_EXACT
-    units = F.when(in_range, F.round(amount * 10**decimals).cast("bigint"))
+    units = F.when(in_range, F.rint(amount * 10**decimals).cast("bigint"))
     return [
         F.sum(units).alias(f"{name}_units"),
         F.sum(F.when(~in_range, amount)).alias(f"{name}_rest"),

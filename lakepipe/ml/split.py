@@ -8,8 +8,8 @@ from lakepipe.functions.columns import key_hash
 
 SEED = 42
 TEST_SHARE_PCT = 20
-_COARSE = 1 << 16  # ranges the hash space is cut into
 _HASH_BITS = 60
+_RANGE_BITS = 16  # the hash space is cut into 2**16 ranges
 
 
 def hash_split(users: DataFrame, key: str = "user_id", test_pct: int = TEST_SHARE_PCT, seed: int = SEED) -> DataFrame:
@@ -17,62 +17,62 @@ def hash_split(users: DataFrame, key: str = "user_id", test_pct: int = TEST_SHAR
     return users.withColumn("is_train", key_hash(F.col(key), seed) % 100 >= test_pct)
 
 
-def _test_sizes(per_label: DataFrame, test_pct: int) -> DataFrame:
-    """Test rows per label: the rounded-up share of all rows, divided by largest remainder.
+def _test_sizes(per_class: DataFrame, test_pct: int) -> DataFrame:
+    """Test rows per class: the rounded-up share of all rows, divided by largest remainder.
 
-    ``per_label`` has one row per label, i.e. two, so the windows over it are two rows long.
+    ``per_class`` has one row for buyers and one for the others, so the windows are two rows long.
     """
     everything = Window.partitionBy(F.lit(0))
     wanted = F.floor((F.sum("rows").over(everything) * test_pct + 99) / 100)
     # quotient and remainder of rows * wanted / all, in whole numbers
     product = F.col("rows").cast("decimal(19,0)") * F.col("wanted").cast("decimal(19,0)")
     sized = (
-        per_label.withColumn("all_rows", F.sum("rows").over(everything))
+        per_class.withColumn("all_rows", F.sum("rows").over(everything))
         .withColumn("wanted", wanted)
         .withColumn("rest", (product % F.col("all_rows")).cast("bigint"))
         .withColumn("base", ((product - F.col("rest")) / F.col("all_rows")).cast("bigint"))
     )
     left_over = F.col("wanted") - F.sum("base").over(everything)
-    place = F.row_number().over(everything.orderBy(F.desc("rest"), F.asc("label")))
-    return sized.select("label", (F.col("base") + (place <= left_over).cast("int")).alias("test_rows"))
+    place = F.row_number().over(everything.orderBy(F.desc("rest"), F.asc("_buyer")))
+    return sized.select("_buyer", (F.col("base") + (place <= left_over).cast("int")).alias("test_rows"))
 
 
 def stratified_split(
     labelled: DataFrame, key: str = "user_id", test_pct: int = TEST_SHARE_PCT, seed: int = SEED
 ) -> DataFrame:
-    """Add ``is_train`` so that each label's test part has its exact size.
+    """Add ``is_train`` so that buyers (label 1) and the others each have a test part of exact size.
 
-    The test part of a label are its ``n`` smallest (hash, key) pairs. Sorting a label in one
+    The test part of a class are its ``n`` smallest (hash, key) pairs. Sorting a class in one
     window would put half of all users into one task. Instead the hash space is cut into 65,536
     equal ranges and counted; the running count finds the range in which the n-th pair lies, and
     only that range's rows (about 1 in 65,536, the hash is uniform over the unique keys) are
-    ranked. What is broadcast is one row per label, and a 0/1 label has two values.
+    ranked. What is broadcast is one row per class, and a boolean has two.
     """
-    coarse = F.shiftright("_hash", _HASH_BITS - 16)
-    hashed = labelled.withColumn("_hash", key_hash(F.col(key), seed))
-    slim = hashed.select("label", F.col(key).alias("_key"), "_hash", coarse.alias("_range"))
+    hashed = labelled.withColumns({"_hash": key_hash(F.col(key), seed), "_buyer": F.col("label").eqNullSafe(1)})
+    coarse = F.shiftright("_hash", _HASH_BITS - _RANGE_BITS)
+    slim = hashed.select("_buyer", F.col(key).alias("_key"), "_hash", coarse.alias("_range"))
 
-    counted = slim.groupBy("label", "_range").agg(F.count(F.lit(1)).alias("rows"))
-    sizes = _test_sizes(counted.groupBy("label").agg(F.sum("rows").alias("rows")), test_pct)
-    upto = Window.partitionBy("label").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = slim.groupBy("_buyer", "_range").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = _test_sizes(counted.groupBy("_buyer").agg(F.sum("rows").alias("rows")), test_pct)
+    upto = Window.partitionBy("_buyer").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     boundary = (
         counted.withColumn("_upto", F.sum("rows").over(upto))
-        .join(F.broadcast(sizes), "label")
+        .join(F.broadcast(sizes), "_buyer")
         .where((F.col("_upto") >= F.col("test_rows")) & (F.col("_upto") - F.col("rows") < F.col("test_rows")))
-        .select("label", "_range", (F.col("test_rows") - F.col("_upto") + F.col("rows")).alias("_nth"))
+        .select("_buyer", "_range", (F.col("test_rows") - F.col("_upto") + F.col("rows")).alias("_nth"))
     )
-    ranked = Window.partitionBy("label").orderBy("_hash", "_key")
+    ranked = Window.partitionBy("_buyer").orderBy("_hash", "_key")
     cut = (
-        slim.join(F.broadcast(boundary), ["label", "_range"])
+        slim.join(F.broadcast(boundary), ["_buyer", "_range"])
         .withColumn("_place", F.row_number().over(ranked))
         .where("_place = _nth")
-        .select("label", F.col("_hash").alias("_cut_hash"), F.col("_key").alias("_cut_key"))
+        .select("_buyer", F.col("_hash").alias("_cut_hash"), F.col("_key").alias("_cut_key"))
     )
     in_test = (F.col("_hash") < F.col("_cut_hash")) | (
         (F.col("_hash") == F.col("_cut_hash")) & (F.col(key) <= F.col("_cut_key"))
     )
     return (
-        hashed.join(F.broadcast(cut), "label", "left")
+        hashed.join(F.broadcast(cut), "_buyer", "left")
         .withColumn("is_train", ~F.coalesce(in_test, F.lit(False)))
         .select(*labelled.columns, "is_train")
     )

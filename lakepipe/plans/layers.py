@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Sequence
 
@@ -17,7 +18,7 @@ from lakepipe.ml.training import train_all
 from lakepipe.operators import cleaning, gold
 from lakepipe.operators.zorder import zorder
 from lakepipe.plans.verify import layer_checks
-from lakepipe.session import size_shuffles, stored_bytes
+from lakepipe.session import size_shuffles
 from lakepipe.sources.feed import read_csv_events, stamp_ingestion
 from lakepipe.sources.versions import Store
 
@@ -46,16 +47,20 @@ class StepLog:
         return plain.withColumn("finished_at", F.current_timestamp())
 
 
+def _published_bytes(store: Store, table: str) -> int:
+    return int(store.history(table).first()["operationMetrics"]["numOutputBytes"])
+
+
 def _clustered(store: Store, table: str, columns: Sequence[str]) -> DataFrame:
     """Rewrite the newest version along the Z-order of ``columns`` as the next version."""
-    metrics = store.history(table).first()["operationMetrics"]
-    files = max(1, -(-int(metrics["numOutputBytes"]) // FILE_TARGET_BYTES))
+    files = max(1, math.ceil(_published_bytes(store, table) / FILE_TARGET_BYTES))
     return store.publish(zorder(store.read(table), columns, files), table, "OPTIMIZE")
 
 
 def publish_events(store: Store, raw: DataFrame, cluster: bool, cart_events: Sequence[str], steps: StepLog) -> DataFrame:
     """Bronze and silver; returns silver as published."""
     bronze = steps.run(schemas.BRONZE, lambda: store.publish(stamp_ingestion(raw), schemas.BRONZE))
+    size_shuffles(store.spark, _published_bytes(store, schemas.BRONZE))
     if cluster:
         bronze = steps.run(
             f"{schemas.BRONZE} clustered", lambda: _clustered(store, schemas.BRONZE, BRONZE_CLUSTER)
@@ -107,7 +112,6 @@ def run_layers(
     steps = StepLog(spark)
     store = Store(spark, root)
     if isinstance(source, str):
-        size_shuffles(spark, stored_bytes(spark, source, "*")[1])
         source = read_csv_events(spark, source)
     silver = publish_events(store, source, cluster, cart_events, steps)
     users = publish_gold(store, silver, cart_events, steps)

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
+SHUFFLE_TARGET_BYTES = 64 * 1024 * 1024  # of parquet; two to three times that once decoded
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 
@@ -72,7 +72,7 @@ def shuffle_partitions_for(input_bytes: int, floor: int) -> int:
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the number of shuffle partitions so that one holds about 128 MB of ``input_bytes``.
+    """Raise the number of shuffle partitions so that one holds about 64 MB of stored ``input_bytes``.
 
     Never lowers the session's own setting: adaptive execution merges partitions that turn out
     small, but cannot split an aggregation's or a window's partition that turns out too big.

@@ -1,0 +1,115 @@
+import random
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from lakepipe.operators import cleaning, quality
+from lakepipe.schemas import SILVER, contract, raw_schema
+
+T0 = "2019-10-01 10:00:00"
+
+
+def row(time=T0, kind="view", product=1, brand="b", price=10.0, user=1, session="s"):
+    return (time, kind, product, brand, price, user, session)
+
+
+def test_rules_and_bands(raw):
+    prices = [None, -1.0, 0.0, 99.99, 100.0, 999.99, 1000.0, float("nan")]
+    frame = raw([row(price=p, product=i) for i, p in enumerate(prices)])
+    kept = {r["product_id"]: r["price_category"] for r in cleaning.clean(frame).collect()}
+    assert kept == {3: "budget", 4: "mid_range", 5: "mid_range", 6: "premium", 7: "premium"}
+
+
+def test_missing_user_or_type_is_dropped(raw):
+    frame = raw([row(user=None), row(kind=None, product=2), row(product=3)])
+    assert [r["product_id"] for r in cleaning.clean(frame).collect()] == [3]
+    assert cleaning.passing(frame, "no_user").count() == 2
+
+
+def test_null_event_time_is_kept(raw):
+    only = cleaning.clean(raw([row(time=None)])).first()
+    assert only["event_date"] is None and only["event_hour"] is None
+
+
+def test_null_sessions_are_one_key(raw):
+    frame = raw([row(session=None, price=1.0), row(session=None, price=2.0), row(session="", price=3.0)])
+    assert sorted(r["price"] for r in cleaning.one_per_event(frame).collect()) == [2.0, 3.0]
+
+
+def test_survivor_prefers_purchase_then_cart_then_price(raw):
+    frame = raw([row(price=9.0), row(kind="cart", price=5.0), row(kind="purchase", price=1.0)])
+    assert cleaning.clean(frame).first()["event_type"] == "purchase"
+    frame = raw([row(price=9.0), row(kind="add_to_cart", price=5.0), row(kind="add_to_cart", price=6.0)])
+    assert cleaning.clean(frame).first()["price"] == 6.0
+
+
+def test_silver_has_the_contract_columns(raw):
+    silver = cleaning.clean(raw([row()]).withColumn("ingestion_ts", F.current_timestamp()))
+    assert quality.schema_problems(silver.schema, contract(SILVER)) == []
+
+
+def test_unlisted_columns_pass_through(raw):
+    frame = raw([row(), row(kind="purchase")]).withColumn("category_code", F.lit("x"))
+    assert cleaning.clean(frame).first()["category_code"] == "x"
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], raw_schema())
+    assert cleaning.clean(empty).count() == 0
+    assert cleaning.rejected(empty).count() == 0
+
+
+def test_a_hot_key_of_exact_copies(raw):
+    """Half of all rows are one row's copies: one survives, the others are all listed."""
+    frame = raw([row()] * 500 + [row(product=i) for i in range(2, 502)]).repartition(7)
+    assert cleaning.clean(frame).count() == 501
+    reasons = Counter(r["reason"] for r in cleaning.rejected(frame).collect())
+    assert reasons == {"duplicate": 499}
+
+
+def test_only_one_row_per_key_and_task_is_exchanged(raw):
+    plan = cleaning.clean(raw([row()]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+events = st.lists(
+    st.tuples(
+        st.sampled_from([None, T0, "2019-10-01 10:00:01"]),
+        st.sampled_from([None, "view", "cart", "add_to_cart", "purchase"]),
+        st.integers(1, 2),
+        st.sampled_from([None, "a", "b"]),
+        st.sampled_from([None, -1.0, 0.0, 5.0, 100.0]),
+        st.sampled_from([None, 1, 2]),
+        st.sampled_from([None, "s"]),
+    ),
+    max_size=40,
+)
+few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+@few
+@given(events, st.integers(1, 5))
+def test_order_and_partitioning_do_not_matter(raw, rows, parts):
+    plain = Counter(map(tuple, cleaning.clean(raw(rows)).collect()))
+    shuffled = random.Random(parts).sample(rows, len(rows))
+    assert Counter(map(tuple, cleaning.clean(raw(shuffled).repartition(parts)).collect())) == plain
+
+
+@few
+@given(events)
+def test_every_row_is_kept_or_rejected(raw, rows):
+    frame = raw(rows).repartition(3)
+    columns = frame.columns
+    kept = Counter(map(tuple, cleaning.clean(frame).select(columns).collect()))
+    gone = Counter(map(tuple, cleaning.rejected(frame).select(columns).collect()))
+    assert kept + gone == Counter(map(tuple, frame.collect()))
+
+
+@few
+@given(events)
+def test_dedup_is_idempotent_and_keys_are_unique(raw, rows):
+    once = cleaning.one_per_event(raw(rows))
+    keys = Counter((r["user_session"], r["event_time"], r["product_id"]) for r in once.collect())
+    assert set(keys.values()) <= {1}
+    assert Counter(map(tuple, cleaning.one_per_event(once).collect())) == Counter(map(tuple, once.collect()))

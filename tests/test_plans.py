@@ -1,0 +1,93 @@
+import pytest
+from pyspark.sql import functions as F
+
+from lakepipe import schemas
+from lakepipe.operators import quality
+from lakepipe.plans.layers import StepLog, published, run_layers
+from lakepipe.plans.verify import layer_checks
+from lakepipe.sources.adapted import raw_events
+from lakepipe.sources.versions import Store
+from conftest import SMALL
+
+
+@pytest.fixture(scope="module")
+def ran(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("chain")
+    feed = str(base / "feed")
+    raw_events(spark, SMALL).write.option("header", True).csv(feed)
+    checks, steps = run_layers(spark, feed, str(base / "out"))
+    return Store(spark, str(base / "out")), checks.collect(), steps.collect()
+
+
+def test_all_checks_hold(ran):
+    _, checks, _ = ran
+    assert len(checks) == 14 and [c["check"] for c in checks if not c["ok"]] == []
+
+
+def test_tables_have_their_contracts(ran):
+    for name, frame in published(ran[0]).items():
+        assert quality.schema_problems(frame.schema, schemas.contract(name)) == []
+
+
+def test_row_counts(ran):
+    counts = {name: frame.count() for name, frame in published(ran[0]).items()}
+    assert counts[schemas.BRONZE] == 1020 and counts[schemas.SILVER] == 877
+    assert counts[schemas.USERS] == counts[schemas.PREDICTIONS] == 384
+
+
+def test_history_and_old_versions(ran):
+    store = ran[0]
+    listed = [(r["version"], r["operation"]) for r in store.history(schemas.SILVER).collect()]
+    assert listed == [(1, "OPTIMIZE"), (0, "WRITE")]
+    same = lambda v: store.read(schemas.SILVER, v)
+    assert same(0).exceptAll(same(1)).isEmpty() and same(1).exceptAll(same(0)).isEmpty()
+
+
+def test_steps_are_logged(ran):
+    steps = {r["step"]: r for r in ran[2]}
+    assert set(schemas.LAYERS) <= set(steps) and all(r["seconds"] > 0 for r in steps.values())
+    assert steps[schemas.SILVER]["rows"] == 877
+
+
+def test_views_are_registered(spark, ran):
+    for name in schemas.LAYERS:
+        assert spark.table(name).count() == ran[0].read(name).count()
+
+
+def test_train_flag_matches_the_split(ran):
+    predictions = ran[0].read(schemas.PREDICTIONS)
+    assert predictions.where("NOT is_train").count() == 77
+
+
+def test_checks_can_fail(ran):
+    store = ran[0]
+    tables = published(store)
+    failing = lambda t: {r["check"] for r in layer_checks(t).collect() if not r["ok"]}
+    assert failing({**tables, schemas.DAILY: None}) == {f"{schemas.DAILY} has rows", "purchases agree"}
+    empty = {**tables, schemas.PREDICTIONS: tables[schemas.PREDICTIONS].where("false")}
+    assert failing(empty) == {f"{schemas.PREDICTIONS} has rows", "every user is scored"}
+    twice = {**tables, schemas.USERS: tables[schemas.USERS].union(tables[schemas.USERS])}
+    assert failing(twice) == {"every user is scored", "purchases agree", f"{schemas.USERS} keys are unique"}
+    grown = {**tables, schemas.BRONZE: tables[schemas.BRONZE].limit(3)}
+    assert failing(grown) == {"cleaning adds no rows"}
+    with pytest.raises(LookupError):
+        layer_checks({})
+
+
+def test_a_step_with_no_rows_is_logged(spark):
+    steps = StepLog(spark)
+    steps.run("nothing", lambda: spark.range(0))
+    assert steps.frame().first()["rows"] == 0
+
+
+def test_strict_cart_names(spark, tmp_path):
+    """The feed says ``cart``; counting only the other name gives 0 and a NULL percentage."""
+    from lakepipe.operators.reports import purchase_funnel
+    from lakepipe.plans.layers import publish_events, publish_gold
+    from lakepipe.functions.columns import CART_EVENTS_STRICT
+
+    store, steps = Store(spark, str(tmp_path)), StepLog(spark)
+    silver = publish_events(store, raw_events(spark, SMALL), False, CART_EVENTS_STRICT, steps)
+    users = publish_gold(store, silver, CART_EVENTS_STRICT, steps)
+    assert users.agg(F.sum("cart_adds")).first()[0] == 0
+    assert purchase_funnel(store.read(schemas.PRODUCTS)).first()["cart_to_purchase_pct"] is None

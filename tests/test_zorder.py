@@ -1,0 +1,65 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakepipe.operators.zorder import zorder
+from test_cleaning import row
+
+LINEITEM = "/root/testdata/sf0.01/lineitem.parquet"
+
+
+def boxes(spark, path, *columns):
+    """Per file: rows and the (min, max) of each column."""
+    ends = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
+    return spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("rows"), *ends).collect()
+
+
+def covering(files, column, value):
+    return sum(f[f"lo_{column}"] <= value <= f[f"hi_{column}"] for f in files)
+
+
+def test_a_filter_on_either_column_skips_files(spark, tmp_path):
+    lines = spark.read.parquet(LINEITEM).select("l_orderkey", "l_partkey", "l_shipdate")
+    path = str(tmp_path / "z")
+    zorder(lines, ["l_orderkey", "l_partkey"], 16).write.parquet(path)
+    files = boxes(spark, path, "l_orderkey", "l_partkey")
+    assert sum(f["rows"] for f in files) == lines.count()
+    middle = lines.approxQuantile(["l_orderkey", "l_partkey"], [0.4], 0.001)
+    assert covering(files, "l_orderkey", middle[0][0]) <= 8
+    assert covering(files, "l_partkey", middle[1][0]) <= 8
+    assert max(f["rows"] for f in files) < 3 * lines.count() / len(files)
+
+
+def test_rows_stay_the_same_with_text_dates_and_nulls(spark, raw):
+    frame = raw(
+        [row(product=i, user=i % 5 if i % 3 else None, kind=["view", None, "cart"][i % 3], brand=f"näme{i % 4}") for i in range(60)]
+        + [row()] * 5
+    ).withColumn("day", F.to_date("event_time"))
+    for columns in (["user_id", "event_type"], ["user_id", "day"], ["brand"], ["price", "event_time", "user_session"]):
+        rewritten = zorder(frame, columns, 4)
+        assert rewritten.columns == frame.columns
+        assert Counter(map(tuple, rewritten.collect())) == Counter(map(tuple, frame.collect()))
+
+
+def test_empty_frame(raw):
+    assert zorder(raw([]), ["user_id", "event_type"], 4).count() == 0
+
+
+def test_text_is_cut_behind_the_shared_prefix(spark, tmp_path):
+    names = spark.range(4000).select(F.format_string("https://host/path/%06d", "id").alias("url"), "id")
+    path = str(tmp_path / "u")
+    zorder(names.repartition(5), ["url"], 8).write.parquet(path)
+    assert covering(boxes(spark, path, "url"), "url", "https://host/path/002100") <= 2
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_hot_value_is_cut_over_files(spark, tmp_path, copies):
+    """Two thirds of the rows share one key; as exact copies they differ by input split only."""
+    hot = F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id"))
+    other = F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")) if copies else F.col("id")
+    frame = spark.range(0, 30_000, 1, 32).select(hot.alias("user_id"), other.alias("other"))
+    path = str(tmp_path / "h")
+    zorder(frame, ["user_id"], 12).write.parquet(path)
+    files = boxes(spark, path, "user_id")
+    assert max(f["rows"] for f in files) < 30_000 / 4
