@@ -74,6 +74,6 @@ def zorder(frame: DataFrame, columns: Sequence[str], files: int, bits: int = 10)
     keyed = placed.withColumns({"_z": z, "_row": F.xxhash64(*frame.columns), "_split": F.spark_partition_id()})
     return (
         keyed.repartitionByRange(files, "_z", "_row", "_split")
-        .sortWithinPartitions("_z", *columns)
+        .sortWithinPartitions("_z")
         .select(*frame.columns)
     )
