@@ -64,6 +64,7 @@ def zorder(frame: DataFrame, columns: Sequence[str], files: int, bits: int = 10)
     input split follow the sort value in the range key, so such a group, even of exact copies, is
     cut over as many files as its size asks for.
     """
+    bits = min(bits, 63 // len(columns))  # the interleaved value is one bigint
     kinds = {f.name: f.dataType for f in frame.schema}
     skip = _common_prefix(frame, [c for c in columns if isinstance(kinds[c], T.StringType)])
     numbers = {f"_z_{c}": _as_number(c, kinds[c], skip.get(c, 0)) for c in columns}
