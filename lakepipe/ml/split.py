@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lakepipe.functions.columns import key_hash
 
 SEED = 42
 TEST_SHARE_PCT = 20
+ROWS_PER_FILE = 250_000
 _HASH_BITS = 60
 _RANGE_BITS = 16  # the hash space is cut into 2**16 ranges
 
@@ -78,6 +81,15 @@ def stratified_split(
     )
 
 
+def in_fixed_order(users: DataFrame, rows: int, key: str = "user_id") -> DataFrame:
+    """The same rows in files and an order that depend on the unique key only.
+
+    Bagging draws per row and partition, and aggregates leave their rows in the order the blocks
+    happened to arrive, so a seed alone would not give the same model twice.
+    """
+    return users.repartition(max(1, math.ceil(rows / ROWS_PER_FILE)), key).sortWithinPartitions(key)
+
+
 def split_summary(split: DataFrame) -> DataFrame:
     """Size and buyers of both parts."""
     return split.groupBy("is_train").agg(F.count(F.lit(1)).alias("users"), F.sum("label").alias("buyers"))

@@ -13,7 +13,7 @@ from lakepipe.functions.columns import CART_EVENTS, CART_EVENTS_STRICT
 from lakepipe.ml import features
 from lakepipe.ml.runs import RunLog
 from lakepipe.ml.scoring import score_users
-from lakepipe.ml.split import stratified_split
+from lakepipe.ml.split import in_fixed_order, stratified_split
 from lakepipe.ml.training import train_all
 from lakepipe.operators import cleaning, gold
 from lakepipe.operators.zorder import zorder
@@ -86,7 +86,8 @@ def publish_gold(store: Store, silver: DataFrame, cart_events: Sequence[str], st
 
 def publish_predictions(store: Store, users: DataFrame, feature_set: str, steps: StepLog) -> DataFrame:
     log = RunLog(store.spark, f"{store.root}/ml")
-    split = store.publish(stratified_split(features.with_label(users)), SPLIT_TABLE)
+    split = in_fixed_order(stratified_split(features.with_label(users)), users.count())
+    split = store.publish(split, SPLIT_TABLE)
     winner = train_all(split, log, feature_set)
     scored = score_users(log.load_model(winner), split)
     return steps.run(schemas.PREDICTIONS, lambda: store.publish(scored, schemas.PREDICTIONS))

@@ -360,7 +360,8 @@ def label_text(spark, sf_dir):
 def _split_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled users with their part; written, since a fit passes over them many times."""
     users = written_once(_users(spark, sf_dir), "users")
-    return written_once(split.stratified_split(features.with_label(users)), "split")
+    parts = split.stratified_split(features.with_label(users))
+    return written_once(split.in_fixed_order(parts, users.count()), "split")
 
 
 def _trained(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:

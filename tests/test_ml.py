@@ -177,6 +177,17 @@ def test_run_is_logged_and_the_model_reloads(spark, tmp_path):
     assert compared["auc"]["random_forest"] == trained[0].metrics["auc"]
 
 
+def test_the_same_model_from_other_partitions(spark):
+    """Not so without the fixed order: bagging draws per row and partition."""
+    predictions = set()
+    for parts in (1, 3):
+        frame = split.stratified_split(feature_rows(spark).repartition(parts))
+        table = written_once(split.in_fixed_order(frame, 200), "parts")
+        scored = apply(fit(table.where("is_train"), "random_forest", "no_leak", 160), table)
+        predictions.add(tuple(sorted((r["user_id"], r["score"]) for r in scored.collect())))
+    assert len(predictions) == 1
+
+
 @pytest.mark.parametrize("kind", PRIORITY)
 def test_one_class_only_does_not_crash(spark, kind):
     rows = feature_rows(spark).withColumn("label", F.lit(0))
