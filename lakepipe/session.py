@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,15 +32,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory every executor can reach.
 
-    The root is the session's ``spark.checkpoint.dir``. A temporary folder of this machine is used
-    only when that setting is absent and the session is local; on a cluster it would be visible to
-    one node only, so there the absence is an error.
+    The root is the session's ``spark.checkpoint.dir``; where that is unset, the session's warehouse
+    folder, which a cluster shares as well. No folder of one machine is ever chosen here.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="lakepipe-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/lakepipe/{purpose}-{uuid.uuid4().hex}"
 
 
