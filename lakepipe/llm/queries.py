@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakepipe.llm import ngram_join
+from lakepipe.llm import language_model, ngram_join, vector_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -30,5 +30,20 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def _remainder(divisor: int) -> Column:
+    """crc32 of the id's decimal digits, modulo ``divisor``; null where the id is null."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query
+def op2_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(_table(spark, sf_dir, "documents"), _remainder(7) == 2)
+
+
+@query
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def oracle_sql() -> dict[str, str]:
     return {}
