@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakepipe.llm import language_model, ngram_join, vector_join
+from lakepipe.llm import bpe, language_model, ngram_join, packing, vector_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -40,6 +40,29 @@ def op2_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(_table(spark, sf_dir, "documents"), _remainder(7) == 2)
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_and_decode(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), length=1024, closing_id=0)
+    return packed.drop("ids")
+
+
 @query
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
