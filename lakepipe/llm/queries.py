@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakepipe.llm import bpe, language_model, ngram_join, packing, vector_join
+from lakepipe.llm import bpe, html_text, language_model, ngram_join, packing, quality_model, vector_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -68,5 +68,22 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+@query
+def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, remainder = _table(spark, sf_dir, "documents"), _remainder(5)
+    model = quality_model.train(docs, _table(spark, sf_dir, "labels"), remainder != 0)
+    return quality_model.score(docs, model).select(
+        "doc_id",
+        F.coalesce(remainder == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {}
