@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -29,6 +30,19 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return spark
 
 
+def importable_by_workers(spark: SparkSession) -> SparkSession:
+    """Python workers look for this package where the driver found it.
+
+    Enough where workers see the driver's folders; elsewhere install the package or pass it with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+    return spark
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory every executor can reach.
 
