@@ -54,29 +54,28 @@ def components(links: DataFrame) -> DataFrame:
     return named.union(roots).select(F.col("src").alias("node"), "component")
 
 
-def across_blocks(members: DataFrame, near=None, side=()) -> DataFrame:
-    """Pairs of members that share a bucket but not a block: columns a_*, b_* of both, and the bucket.
+def across_blocks(members: DataFrame, keep=None) -> DataFrame:
+    """Pairs (a, b) of nodes that share a bucket but not a block, as often as they share one.
 
-    ``members`` has bucket, node, block and the columns ``side``. A bucket that holds a single block
-    gives nothing, and blocks are paired before their members, so a large block costs no more than
-    the pairs that cross its border. ``near(x, y)`` may refuse a pair of blocks by the smallest and
-    largest ``size`` in them (columns least, most).
+    ``members`` has bucket, node, block and what ``keep(x, y)`` reads to refuse a pair of rows. Each
+    bucket's largest block is paired with the rest of the bucket, and the rest with itself; a bucket
+    of a single block has no rest and gives nothing, whatever its size. ``keep`` is part of the join's
+    condition, so refused pairs are never rows.
     """
-    spread = members.groupBy("bucket").agg(F.min("block").alias("one"), F.max("block").alias("other"))
-    mixed = spread.where("one < other").select("bucket")
-    inside = members.join(mixed, "bucket")
-    blocks = inside.groupBy("bucket", "block").agg(F.min("size").alias("least"), F.max("size").alias("most"))
-    x, y = blocks.alias("x"), blocks.alias("y")
-    on = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.block") < F.col("y.block"))
-    if near is not None:
-        on &= near("x", "y")
-    met = x.join(y, on).select(
-        F.col("x.bucket").alias("bucket"), F.col("x.block").alias("a_block"), F.col("y.block").alias("b_block")
+    blocks = members.groupBy("bucket", "block").agg(F.count(F.lit(1)).alias("n"))
+    largest = blocks.groupBy("bucket").agg(
+        F.max_by("block", F.struct("n", "block")).alias("largest"), F.count(F.lit(1)).alias("blocks")
     )
+    mixed = written_once(members.join(largest.where("blocks > 1").drop("blocks"), "bucket"), "mixed")
+    rest = mixed.where("block <> largest")
 
-    def named(prefix):
-        return inside.select(
-            "bucket", F.col("block").alias(f"{prefix}_block"), *[F.col(c).alias(f"{prefix}_{c}") for c in ("node", *side)]
-        )
+    def paired(left, right, apart):
+        x, y = left.alias("x"), right.alias("y")
+        on = (F.col("x.bucket") == F.col("y.bucket")) & apart
+        if keep is not None:
+            on &= keep("x", "y")
+        a, b = F.col("x.node"), F.col("y.node")
+        return x.join(y, on).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
-    return met.join(named("a"), ["bucket", "a_block"]).join(named("b"), ["bucket", "b_block"])
+    one_way = (F.col("x.block") != F.col("y.block")) & (F.col("x.node") < F.col("y.node"))
+    return paired(mixed.where("block = largest"), rest, F.lit(True)).union(paired(rest, rest, one_way))

@@ -3,14 +3,15 @@
 Every document's n-grams are ordered by how many documents hold them, rarest first. Two sets with a
 Jaccard similarity of at least t share an n-gram among the first ``n - ceil(t * n) + 1`` of each, so
 only these are joined. An n-gram that one document alone holds can join nothing and is left out.
-Candidates then pass a length filter, a positional filter and a suffix filter (both sets are cut into
-hash ranges; the differences of the ranges' sizes bound the overlap from above) and are verified once
-on the whole sets.
+Candidates then pass a length filter, a positional filter and a suffix filter and are verified once on
+the whole sets. The suffix filter bounds the number of n-grams that only one of two sets holds from
+below, by cells of a hash: each cell whose sizes differ in parity, and the differences of the cells'
+sizes, are n-grams that the other set lacks.
 
-Components do not need all links of a dense group. A first pass verifies, for every prefix n-gram,
-its documents against one of them; the second verifies the pairs whose ends the first left in
-different components. No link between components is lost, and a group of near copies costs a number
-of pairs in proportion to its size, not to the square of it.
+Components do not need all links of a dense group. A few passes verify, for every prefix n-gram, its
+documents against one of them, another one in each pass; the last pass joins the documents that these
+left in different components. No link between components is lost, and a group of near copies that are
+linked with each other costs pairs in proportion to its size, not to the square of it.
 
 Defined results: a null text is empty; an empty set links with nothing and is its own component; rows
 with equal sets are one class; a document without an id keeps its set size and has no component; rows
@@ -30,7 +31,8 @@ from lakepipe.llm import graph, store
 from lakepipe.llm.words import buffer_of, mix, shingles, words_of
 from lakepipe.session import written_once
 
-RANGES = 32  # of the suffix filter
+RANGES, PARITY_WORDS = 32, 8  # of the suffix filter: hash cells that are counted; 64-bit words of parities
+HUB_PASSES = 3
 
 
 def _sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +52,7 @@ def _document_counts(docs: DataFrame, width: int, folder: str, bits: int) -> Non
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in store.chunks(batches, "text", 16_000_000):
+        for _, texts in store.chunks(batches, "text", 6_000_000):
             keys = np.sort(_sets(texts, width)[0])
             shards, edges = store.shard_edges(keys, bits)
             rows = []
@@ -83,7 +85,7 @@ def _batch(rows: list[tuple], *fields: tuple[str, pa.DataType]) -> pa.RecordBatc
     )
 
 
-SIGNED = "doc_id {id}, n int, d1 long, d2 long, ranges array<int>, tokens array<long>, places array<int>, grams array<long>"
+SIGNED = "doc_id {id}, n int, d1 long, d2 long, ranges array<int>, parity array<long>, tokens array<long>, places array<int>, grams array<long>"
 
 
 def _signatures(docs: DataFrame, width: int, percent: int, folder: str, bits: int) -> DataFrame:
@@ -92,15 +94,20 @@ def _signatures(docs: DataFrame, width: int, percent: int, folder: str, bits: in
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = store.Shards(folder, bits)
         low = np.uint64(32 - bits)
-        for batch, texts in store.chunks(batches, "text"):
+        for batch, texts in store.chunks(batches, "text", 2_500_000):
             grams, starts = _sets(texts, width)
             known, back = np.unique((grams >> low) << low, return_inverse=True)
             frequency = np.maximum(counts.find(known, "count")[0], 1)[back].astype(np.int64)
-            d1 = np.concatenate([[0], np.cumsum(mix(grams))]).astype(np.uint64)
-            d2 = np.concatenate([[0], np.cumsum(mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]).astype(np.uint64)
+            none = np.zeros(1, np.uint64)  # sums wrap around; a signed zero would turn them into floats
+            d1 = np.concatenate([none, np.cumsum(mix(grams))])
+            d2 = np.concatenate([none, np.cumsum(mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)))])
             size = np.diff(starts)
             cell = np.repeat(np.arange(len(size)), size) * RANGES + (mix(grams) >> np.uint64(59)).astype(np.int64)
             ranges = np.bincount(cell, minlength=len(size) * RANGES).astype(np.int32)
+            bits_of = 64 * PARITY_WORDS
+            cell = np.repeat(np.arange(len(size)), size) * bits_of + (mix(grams) % np.uint64(bits_of)).astype(np.int64)
+            odd = (np.bincount(cell, minlength=len(size) * bits_of) & 1).astype(np.uint8)
+            parity = np.packbits(odd).view(np.int64).reshape(-1, PARITY_WORDS)
             tokens, places, held = [], [], []
             for i, n in enumerate(size):
                 own, often = grams[starts[i] : starts[i + 1]], frequency[starts[i] : starts[i + 1]]
@@ -122,11 +129,12 @@ def _signatures(docs: DataFrame, width: int, percent: int, folder: str, bits: in
                     pa.array((d1[starts[1:]] - d1[starts[:-1]]).view(np.int64)),
                     pa.array((d2[starts[1:]] - d2[starts[:-1]]).view(np.int64)),
                     _lists([ranges[i * RANGES : (i + 1) * RANGES] for i in range(len(size))], np.int32),
+                    _lists(list(parity), np.int64),
                     _lists(tokens, np.int64),
                     _lists(places, np.int32),
                     _lists(held, np.int64),
                 ],
-                names=["doc_id", "n", "d1", "d2", "ranges", "tokens", "places", "grams"],
+                names=["doc_id", "n", "d1", "d2", "ranges", "parity", "tokens", "places", "grams"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -197,49 +205,57 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         .join(classes, [*digest])
         .where("doc_id = node")
         .dropDuplicates(["node", *digest])
-        .select("node", "n", "ranges", "tokens", "places", "grams")
+        .select("node", "n", "ranges", "parity", "tokens", "places", "grams")
     )
     nodes = written_once(nodes, "nodes")
     postings = nodes.select("node", F.col("n").cast("long").alias("size"), F.arrays_zip("tokens", "places").alias("z"))
     postings = postings.select("node", "size", F.explode("z").alias("z"))
-    postings = written_once(
-        postings.select(F.col("z.tokens").alias("bucket"), "node", "size", F.col("z.places").cast("long").alias("place")),
-        "postings",
+    postings = postings.select(
+        F.col("z.tokens").alias("bucket"), "node", "size", F.col("z.places").cast("long").alias("place")
     )
+    shared = postings.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket")
+    postings = written_once(postings.join(shared, "bucket"), "postings")
 
-    def may_link(a_size, a_place, b_size, b_place):
+    def may_link(x, y):
+        a_size, b_size = F.col(f"{x}.size"), F.col(f"{y}.size")
+        a_place, b_place = F.col(f"{x}.place"), F.col(f"{y}.place")
         rest = F.least(a_size - a_place, b_size - b_place)
         return _length_filter(a_size, b_size, percent) & (
             F.least(a_place, b_place) + rest >= _overlap(a_size, b_size, percent)
         )
 
-    # First pass: each n-gram's documents against one of them, another one for another n-gram.
-    hubs = postings.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("m"),
-        F.min_by(F.struct("node", "size", "place"), F.xxhash64("bucket", "node")).alias("hub"),
-    )
-    met = postings.join(hubs.where("m > 1"), "bucket").where("node != hub.node")
-    met = met.where(may_link(F.col("size"), F.col("place"), F.col("hub.size"), F.col("hub.place")))
-    pairs = met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-    first = written_once(_verified(pairs, nodes, percent), "links")
-
-    # Second pass: what shares a prefix n-gram and is not in one component yet.
-    found = graph.components(first)
-    members = postings.join(found, "node", "left").select(
-        "bucket", "node", "size", "place", F.coalesce("component", "node").alias("block")
-    )
+    links = block = None
+    for turn in range(HUB_PASSES):
+        # Each n-gram's documents against one of them, another one for another n-gram and pass.
+        members = postings.withColumn("block", F.col("node"))
+        if block is not None:
+            members = postings.join(block, "node", "left").withColumn("block", F.coalesce("component", "node"))
+        hubs = members.groupBy("bucket").agg(
+            F.min_by(F.struct("node", "size", "place", "block"), F.xxhash64("bucket", "node", F.lit(turn))).alias("hub")
+        )
+        hubs = hubs.select("bucket", "hub.*").alias("hub")
+        met = members.alias("own").join(hubs, "bucket")
+        met = met.where((F.col("own.block") != F.col("hub.block")) & may_link("own", "hub"))
+        a, b = F.col("own.node"), F.col("hub.node")
+        pairs = met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+        found = written_once(_verified(pairs, nodes, percent), "links")
+        links = found if links is None else links.union(found)
+        block = written_once(graph.components(links), "blocks")
+
+    # What still shares a prefix n-gram and is not in one component yet.
+    members = postings.join(block, "node", "left").withColumn("block", F.coalesce("component", "node"))
+    members = members.drop("component").join(nodes.select("node", "parity"), "node")
 
     def near(x, y):
-        return (F.col(f"{x}.most") * 100 >= F.col(f"{y}.least") * percent) & (
-            F.col(f"{y}.most") * 100 >= F.col(f"{x}.least") * percent
+        odd = sum(
+            F.bit_count(F.col(f"{x}.parity")[k].bitwiseXOR(F.col(f"{y}.parity")[k])) for k in range(PARITY_WORDS)
         )
+        sizes = F.col(f"{x}.size"), F.col(f"{y}.size")
+        return may_link(x, y) & (odd <= sizes[0] + sizes[1] - 2 * _overlap(*sizes, percent))
 
-    across = graph.across_blocks(written_once(members, "members"), near, ("size", "place"))
-    across = across.where(may_link(F.col("a_size"), F.col("a_place"), F.col("b_size"), F.col("b_place")))
-    pairs = across.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
-    second = written_once(_verified(pairs, nodes, percent), "links")
-
-    component = graph.components(first.union(second))
+    pairs = graph.across_blocks(members, near).distinct()
+    links = links.union(written_once(_verified(pairs, nodes, percent), "links"))
+    component = graph.components(links)
     named = classes.join(component, "node", "left").select(*digest, F.coalesce("component", "node").alias("component"))
     return signed.select("doc_id", *digest).join(named, digest, "left").select(
         "doc_id",

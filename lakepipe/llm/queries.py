@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakepipe.llm import bpe, html_text, language_model, ngram_join, packing, quality_model, vector_join
+from lakepipe.session import importable_by_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -22,7 +23,7 @@ def queries() -> dict[str, Query]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable_by_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query

@@ -139,11 +139,10 @@ def near_vectors(
     )
     blocked = written_once(blocked.withColumn("block", F.coalesce("centre", "node")).drop("centre"), "blocks")
     members = written_once(
-        entries.join(blocked, "node").select("bucket", "node", "block", F.lit(0).alias("size")), "members"
+        entries.join(blocked, "node").select("bucket", "node", "block"), "members"
     )
     # Second pass: pairs across blocks. A hub and its members meet here too unless they are one block.
-    across = graph.across_blocks(members).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    links = written_once(with_cosine(across.distinct()), "links")
+    links = written_once(with_cosine(graph.across_blocks(members).distinct()), "links")
 
     sizes = blocked.groupBy("block").agg(F.sum("copies").alias("together"))
     outside = links.select(F.col("a").alias("node"), F.col("b_copies").alias("other")).union(
