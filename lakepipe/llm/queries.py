@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakepipe.llm import bpe, html_text, language_model, ngram_join, packing, quality_model, vector_join
-from lakepipe.session import importable_by_workers
+from lakepipe.llm import bpe, decision_list, html_text, language_model, ngram_join, packing, quality_model, vector_join
+from lakepipe.session import importable_by_workers, written_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -64,6 +64,23 @@ def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+@query
+def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    statistics = written_once(decision_list.text_statistics(docs).drop("given"), "statistics")
+    rules = decision_list.learn_from(statistics, _table(spark, sf_dir, "labels"))
+    return statistics.select(
+        "row.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        decision_list.base_failed().alias("base_failed"),
+        (~decision_list.base_failed() & rules.keeps()).alias("kept"),
+    )
+
+
 @query
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
