@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakepipe.llm import bpe, decision_list, html_text, language_model, ngram_join, packing, quality_model, vector_join
+from lakepipe.llm import bpe, decision_list, html_text, language_model, licenses, line_templates, ngram_join, packing, quality_model, vector_join
 from lakepipe.session import importable_by_workers, written_once
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,12 @@ def op2_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(_table(spark, sf_dir, "documents"), _remainder(7) == 2)
 
 
+@query
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.drop_recurring(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "dropped_lines", "text")
+
+
 def _tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -86,6 +92,11 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+@query
+def op8_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, remainder = _table(spark, sf_dir, "documents"), _remainder(5)
@@ -104,4 +115,4 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_licence_rules": licenses.oracle_sql()}

@@ -95,9 +95,11 @@ class Shards:
             self._maps[name, shard] = None if empty else np.load(path, mmap_mode="r")
         return self._maps[name, shard]
 
-    def find(self, keys: np.ndarray, *names: str) -> list[np.ndarray]:
-        """The named values of sorted distinct ``keys``, as float64; 0 where a key is absent."""
-        out = [np.zeros(len(keys)) for _ in names]
+    def find(self, keys: np.ndarray, *names: str | tuple[str, type, int]) -> list[np.ndarray]:
+        """The named values of sorted distinct ``keys``: float64 and 0 where absent, or a name with its type and value."""
+        wished = [(name, np.float64, 0) if isinstance(name, str) else name for name in names]
+        names = [name for name, _, _ in wished]
+        out = [np.full(len(keys), absent, dtype) for _, dtype, absent in wished]
         shards, edges = shard_edges(keys, self.bits)
         for k, shard in enumerate(shards):
             stored = self._array(self.key, int(shard))
