@@ -83,17 +83,17 @@ def user_features(
             .select("user_id", F.col("product_id").isNotNull().cast("bigint").alias("unique_products"))
         )
         stacked = per_day.unionByName(per_product, allowMissingColumns=True)
-        added = [F.sum(c).alias(c) for c in stacked.columns if c != "user_id"]
-        per_user = stacked.groupBy("user_id").agg(*added)
-    price_total = money.total_of(F.col("price_units"), F.col("price_rest"))
+        money_columns = {*money.part_names("spent"), *money.part_names("price")}
+        added = [F.sum(c).alias(c) for c in stacked.columns if c != "user_id" and c not in money_columns]
+        per_user = stacked.groupBy("user_id").agg(*added, *money.combined("spent"), *money.combined("price"))
     return per_user.select(
         "user_id",
         "total_events",
         "purchases",
         "views",
         "cart_adds",
-        money.total_of(F.col("spent_units"), F.col("spent_rest")).alias("total_spent"),
-        F.try_divide(price_total, F.col("price_count").cast("double")).alias("avg_price"),
+        money.total_of("spent").alias("total_spent"),
+        money.mean_of("price").alias("avg_price"),
         "unique_products",
         "active_days",
     ).fillna(0)

@@ -38,7 +38,7 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("user_count"),
             F.round(money.mean(F.col("total_spent")), 2).alias("avg_spend"),
-            F.round(money.mean(F.col("purchase_probability"), decimals=4), 4).alias("avg_score"),
+            F.round(money.mean(F.col("purchase_probability")), 4).alias("avg_score"),
         )
         .orderBy(F.desc_nulls_last("avg_spend"), F.asc_nulls_last("purchase_label"))
     )

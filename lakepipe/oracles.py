@@ -13,7 +13,9 @@ base AS (
          ELSE 'view' END AS event_type,
     k AS product_id,
     CASE WHEN k % 7 = 0 THEN NULL ELSE concat('Brand#', CAST(k % 25 AS VARCHAR)) END AS brand,
-    CASE WHEN event_id % 83 = 0 THEN NULL ELSE value * 10 - 50 END AS price,
+    CASE WHEN event_id % 83 = 0 THEN NULL
+         ELSE value * 10 - 50 + CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 16 AS DOUBLE) / 16 ELSE 0 END
+         END AS price,
     CASE WHEN event_id % 89 = 0 THEN NULL ELSE user_id * 31 + day(ts) END AS user_id,
     CASE WHEN event_id % 101 = 0 THEN NULL
          ELSE concat(CAST(user_id AS VARCHAR), '-', CAST(day(ts) AS VARCHAR)) END AS user_session
@@ -39,7 +41,8 @@ silver AS (
     CASE WHEN price < 100 THEN 'budget' WHEN price < 1000 THEN 'mid_range' ELSE 'premium' END AS price_category
   FROM ranked WHERE place = 1)"""
 
-_MONEY = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
+# No price of the feed needs more than four decimals; the rest of a double's digits are rounding errors.
+_MONEY = "CAST(sum(CAST({0} AS DECIMAL(24,8))) AS DOUBLE)"
 
 
 def _sum(amount: str) -> str:
@@ -275,7 +278,7 @@ FROM (SELECT CAST(sum(cart_adds) AS DOUBLE) AS carts, CAST(sum(purchases) AS DOU
         "prediction_summary": _with(
             _PREDICTIONS,
             f"""SELECT purchase_label, count(*) AS user_count, round({_avg('total_spent')}, 2) AS avg_spend,
-  round(CAST(sum(CAST(purchase_probability AS DECIMAL(18,4))) AS DOUBLE) / count(*), 4) AS avg_score
+  round(CAST(sum(CAST(purchase_probability AS DECIMAL(24,8))) AS DOUBLE) / count(*), 4) AS avg_score
 FROM predictions GROUP BY purchase_label ORDER BY avg_spend DESC, purchase_label""",
         ),
         "layer_counts": _with(_LAYERS, "SELECT layer, CAST(rows AS BIGINT) AS rows FROM sizes ORDER BY layer"),

@@ -27,6 +27,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("view"),
     )
     repeats = F.when(F.col("event_id") % 50 == 0, F.array(kind, F.lit("purchase"))).otherwise(F.array(kind))
+    # Prices below a cent, in steps that every engine adds exactly.
+    sixteenths = F.when(F.col("event_id") % 3 == 0, (F.col("event_id") % 16) / 16.0).otherwise(0.0)
     return events.withColumn("product_id", product).select(
         F.date_trunc("second", "ts").alias("event_time"),
         F.explode(repeats).alias("event_type"),
@@ -35,7 +37,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("product_id") % 7 != 0,
             F.concat(F.lit("Brand#"), (F.col("product_id") % 25).cast("string")),
         ).alias("brand"),
-        _blank_every(83, F.col("value") * 10 - 50).alias("price"),
+        _blank_every(83, F.col("value") * 10 - 50 + sixteenths).alias("price"),
         _blank_every(89, F.col("user_id") * 31 + day).alias("user_id"),
         _blank_every(101, F.concat(F.col("user_id").cast("string"), F.lit("-"), day.cast("string"))).alias("user_session"),
     )

@@ -6,7 +6,9 @@ import __spark_entry__ as entry
 import oracle
 from conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from lakepipe import oracles, registry
+
+QUERIES, ORACLES = registry.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +16,10 @@ def duck():
     return oracle.connect(SMALL)
 
 
+def test_the_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_every_oracle_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"ml_random_forest", "ml_logistic_regression", "ml_score_users"}
