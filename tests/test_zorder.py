@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakepipe.operators.zorder import zorder
+from lakepipe.sources.adapted import raw_events
 from test_cleaning import row
 
 LINEITEM = "/root/testdata/sf0.01/lineitem.parquet"
@@ -31,6 +32,37 @@ def test_a_filter_on_either_column_skips_files(spark, tmp_path):
     assert max(f["rows"] for f in files) < 3 * lines.count() / len(files)
 
 
+@pytest.mark.parametrize("column,few", [("event_type", 4), ("event_date", 30)])
+def test_a_column_with_few_values_skips_files_too(spark, tmp_path, column, few):
+    kinds = F.array(*[F.lit(k) for k in ("cart", "purchase", "remove", "view")])
+    value = kinds[F.pmod(F.xxhash64("id"), F.lit(4)).cast("int")]
+    if column == "event_date":
+        value = F.date_add(F.lit("2019-10-01"), F.pmod(F.xxhash64("id"), F.lit(few)).cast("int"))
+    frame = spark.range(0, 40_000, 1, 8).select((F.col("id") % 2003).alias("user_id"), value.alias(column))
+    path = str(tmp_path / "z")
+    zorder(frame, ["user_id", column], 16).write.parquet(path)
+    files = boxes(spark, path, "user_id", column)
+    assert len(files) == 16
+    read = sorted(covering(files, column, row[0]) for row in frame.select(column).distinct().collect())
+    assert read[len(read) * 9 // 10 - 1] <= 8 and sum(read) / len(read) <= 8
+    assert read[-1] <= 10  # a value on the border of two ranges lies in both
+    assert max(covering(files, "user_id", user) for user in (0, 500, 1001, 2002)) <= 8
+
+
+def test_feed_columns_skip_files(spark, tmp_path):
+    """The pipeline's own pairs on the feed itself, with its uneven event types."""
+    events = raw_events(spark, "/root/testdata/sf0.01").where("event_type IS NOT NULL AND user_id IS NOT NULL")
+    events = events.withColumn("event_date", F.to_date("event_time"))
+    for k, (column, value) in enumerate([("event_type", "purchase"), ("event_type", "cart"), ("event_date", None)]):
+        path = str(tmp_path / f"z{k}")
+        zorder(events, ["user_id", column], 16).write.parquet(path)
+        files = boxes(spark, path, "user_id", column)
+        value = value or events.agg(F.date_from_unix_date(F.percentile_approx(F.unix_date("event_date"), 0.4))).first()[0]
+        assert covering(files, column, value) <= 8
+        user = events.approxQuantile("user_id", [0.4], 0.001)[0]
+        assert covering(files, "user_id", user) <= 8
+
+
 def test_rows_stay_the_same_with_text_dates_and_nulls(spark, raw):
     frame = raw(
         [row(product=i, user=i % 5 if i % 3 else None, kind=["view", None, "cart"][i % 3], brand=f"näme{i % 4}") for i in range(60)]
