@@ -32,7 +32,7 @@ from lakepipe.llm.words import buffer_of, mix, shingles, words_of
 from lakepipe.session import written_once
 
 RANGES, PARITY_WORDS = 32, 8  # of the suffix filter: hash cells that are counted; 64-bit words of parities
-HUB_PASSES = 3
+HUB_PASSES = 2
 
 
 def _sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
