@@ -19,6 +19,7 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from tokenizers import Tokenizer
 
 from lakepipe.llm import store
 
-MOST_CACHED = 600_000  # words a worker remembers before it starts afresh, some 200 bytes each
+MOST_CACHED = 500_000  # words a worker remembers before it starts afresh, some 200 bytes each
 AT_ONCE = 4_000  # strings the library encodes in one call; its results take much memory
 
 #: Text of these characters is lower-cased and classified alike by every Unicode library.
@@ -173,6 +174,13 @@ class WordBpe:
         return [data[lo : max(lo, hi - 1)] for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> WordBpe:
+    """The encoder of this worker process: its tasks share what it has learnt."""
+    one_thread()
+    return WordBpe(path)
+
+
 def encode_and_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, ids, decoded) per row of ``docs`` (doc_id, text); ids are packed little-endian 32-bit integers.
 
@@ -180,8 +188,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one_thread()
-        bpe = WordBpe(tokenizer)
+        bpe = loaded(tokenizer)
         for batch, texts in store.chunks(batches, "text", 2_000_000):
             ids = bpe.encode_batch(texts)
             decoded = pa.array(bpe.decode_batch(ids), pa.binary()).cast(pa.string())
