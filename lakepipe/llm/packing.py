@@ -19,6 +19,7 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +100,13 @@ class ByteBpe:
         return out
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> ByteBpe:
+    """The encoder of this worker process: its tasks share what it has learnt."""
+    one_thread()
+    return ByteBpe(path)
+
+
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     """Hilbert keys of integer points (rows, dimensions), each coordinate below 2 ** bits.
 
@@ -151,8 +159,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, closing_id: int =
     closing = np.array([closing_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one_thread()
-        bpe = ByteBpe(tokenizer)
+        bpe = loaded(tokenizer)
         for batch, texts in store.chunks(batches, "text", 2_000_000):
             ids = [np.frombuffer(i + closing, "<u4") for i in bpe.encode_batch(texts)]
             yield pa.RecordBatch.from_arrays(
