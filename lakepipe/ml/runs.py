@@ -47,7 +47,10 @@ class RunLog:
         """Write what the metrics need, so that the model is applied once and not once per metric."""
         path = f"{self.root}/scored/{run_id}"
         scored.select("label", "prediction", "score").write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.scored(run_id)
+
+    def scored(self, run_id: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/scored/{run_id}")
 
     def table(self) -> DataFrame:
         return self.spark.read.schema(parse(RUNS_DDL)).parquet(f"{self.root}/runs")

@@ -81,13 +81,15 @@ def stratified_split(
     )
 
 
-def in_fixed_order(users: DataFrame, rows: int, key: str = "user_id") -> DataFrame:
-    """The same rows in files and an order that depend on the unique key only.
+def in_fixed_order(
+    users: DataFrame, rows: int, key: str = "user_id", rows_per_partition: int = ROWS_PER_FILE
+) -> DataFrame:
+    """The same rows in partitions and an order that depend on the unique key only.
 
     Bagging draws per row and partition, and aggregates leave their rows in the order the blocks
     happened to arrive, so a seed alone would not give the same model twice.
     """
-    return users.repartition(max(1, math.ceil(rows / ROWS_PER_FILE)), key).sortWithinPartitions(key)
+    return users.repartition(max(1, math.ceil(rows / rows_per_partition)), key).sortWithinPartitions(key)
 
 
 def split_summary(split: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakepipe.ml import features, metrics
 from lakepipe.ml.runs import PRIORITY, RunLog, best_run, metric_rows
+from lakepipe.ml.split import in_fixed_order
 
 # The hyper-parameters.
 TREES = 100
@@ -18,7 +19,7 @@ DEPTH = 5
 ITERATIONS = 100
 SEED = 42
 
-SPREAD_ROWS_PER_CORE = 250_000
+ROWS_PER_PARTITION = 20_000
 
 
 def estimator(kind: str, train_rows: int):
@@ -38,20 +39,14 @@ def parameters(kind: str) -> dict[str, object]:
     return {"model_type": "LogisticRegression", "max_iter": ITERATIONS}
 
 
-def spread(train: DataFrame, rows: int) -> DataFrame:
-    """Use all cores for a table small enough to be stored in fewer files.
+def fit(train: DataFrame, kind: str, feature_set: str, train_rows: int, key: str = "user_id") -> PipelineModel:
+    """Fit on partitions whose number, rows and order follow from the keys and the number of rows alone.
 
-    Growing the trees costs far more per row than reading it, unlike an iteration of the
-    regression. A table with more rows per core comes in enough input splits and is left as it is.
+    Bagging draws per row and partition, and how files are packed into input splits depends on the
+    number of cores; so the rows are dealt out anew, just before the fit.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.repartition(cores) if rows < cores * SPREAD_ROWS_PER_CORE else train
-
-
-def fit(train: DataFrame, kind: str, feature_set: str, train_rows: int) -> PipelineModel:
-    if kind == "random_forest":
-        train = spread(train, train_rows)
-    return Pipeline(stages=[features.assembler(feature_set), estimator(kind, train_rows)]).fit(train)
+    dealt = in_fixed_order(train, train_rows, key, ROWS_PER_PARTITION)
+    return Pipeline(stages=[features.assembler(feature_set), estimator(kind, train_rows)]).fit(dealt)
 
 
 def apply(model: PipelineModel, frame: DataFrame) -> DataFrame:
@@ -92,7 +87,7 @@ def train_and_log(split: DataFrame, kind: str, log: RunLog, feature_set: str = f
     }
     log.log(run_id, kind, param={**parameters(kind), **shape})
     columns = [*features.FEATURE_SETS[feature_set], "label"]
-    model = fit(split.where("is_train").select(*columns), kind, feature_set, sizes["train"])
+    model = fit(split.where("is_train").select("user_id", *columns), kind, feature_set, sizes["train"])
     scored = log.save_scored(run_id, apply(model, split.where("NOT is_train").select(*columns)))
     measured = {row["metric"]: row["value"] for row in metrics.evaluate(scored).collect()}
     log.log(run_id, kind, metric=measured, model={"uri": log.save_model(run_id, model)})

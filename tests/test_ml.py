@@ -1,12 +1,18 @@
+import os
 import random
+import subprocess
+import sys
 
+import numpy
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lakepipe.ml import features, metrics, runs, split
 from lakepipe.ml.scoring import as_predictions
+from lakepipe.operators import cleaning, gold
 from lakepipe.session import written_once
+from lakepipe.sources.adapted import raw_events
 from lakepipe.ml.training import PRIORITY, apply, fit, train_and_log
 
 few = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -158,7 +164,49 @@ def feature_rows(spark, n=200):
 
 def test_feature_sets():
     assert "total_spent" in features.FEATURE_SETS["reference"] and len(features.FEATURE_SETS["reference"]) == 7
-    assert set(features.FEATURE_SETS["reference"]) - set(features.FEATURE_SETS["no_leak"]) == {"total_spent"}
+    left_out = set(features.FEATURE_SETS["reference"]) - set(features.FEATURE_SETS["no_leak"])
+    assert left_out == {"total_spent", "total_events", "unique_products"}
+
+
+def test_no_mix_of_the_features_gives_the_purchases(spark):
+    users = gold.user_features(cleaning.clean(raw_events(spark, "/root/testdata/sf0.01"))).toPandas()
+    target = users["purchases"].to_numpy(float)
+
+    def share_left(feature_set):
+        columns = users[list(features.FEATURE_SETS[feature_set])].to_numpy(float)
+        columns = numpy.column_stack([columns, numpy.ones(len(columns))])
+        rest = target - columns @ numpy.linalg.lstsq(columns, target, rcond=None)[0]
+        return (rest**2).sum() / ((target - target.mean()) ** 2).sum()
+
+    assert share_left("reference") < 1e-9  # the leak, as it was
+    assert share_left("no_leak") > 0.5
+
+
+SCORES = """
+import sys
+from lakepipe.session import local_session
+from lakepipe.ml import features, split
+from lakepipe.ml.training import apply, fit
+cores, path = sys.argv[1:]
+spark = local_session(cores, 4, "2g")
+table = spark.read.parquet(path)
+rows = table.where("is_train").count()
+scored = apply(fit(table.where("is_train"), "random_forest", "no_leak", rows), table)
+print(sorted((r["user_id"], r["score"]) for r in scored.collect()))
+"""
+
+
+def test_the_same_forest_on_other_cores(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    split.stratified_split(feature_rows(spark)).repartition(5).write.parquet(path)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = {
+        subprocess.run(
+            [sys.executable, "-c", SCORES, cores, path], cwd=root, capture_output=True, text=True, check=True, timeout=300
+        ).stdout
+        for cores in ("2", "4")
+    }
+    assert len(found) == 1 and len(found.pop()) > 1000
 
 
 def test_run_is_logged_and_the_model_reloads(spark, tmp_path):
