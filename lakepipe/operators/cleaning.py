@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakepipe.functions.columns import CART_EVENTS, PURCHASE, all_of, price_band
-from lakepipe.schemas import SILVER, TABLE_KEYS
+from lakepipe.schemas import SILVER, TABLE_KEYS, UNREADABLE
+from lakepipe.session import written_once
 
 EVENT_KEY = TABLE_KEYS[SILVER]
 
@@ -18,18 +19,24 @@ RULES = (
     ("no_type", "event_type IS NOT NULL"),
 )
 DUPLICATE = "duplicate"
+MOST_BROADCAST_KEYS = 500_000  # some 100 bytes each
+
+
+def _rules(frame: DataFrame) -> tuple[tuple[str, str], ...]:
+    """A row that could not be read breaks no other rule: its values are not known."""
+    return (("unreadable", f"{UNREADABLE} IS NULL"), *RULES) if UNREADABLE in frame.columns else RULES
 
 
 def passing(frame: DataFrame, *rules: str) -> DataFrame:
     """Rows that satisfy the named rules (all of them by default); unknown counts as broken."""
-    chosen = [F.expr(test) for name, test in RULES if not rules or name in rules]
+    chosen = [F.expr(test) for name, test in _rules(frame) if not rules or name in rules]
     return frame.where(all_of(chosen))
 
 
-def broken_rule() -> Column:
+def broken_rule(frame: DataFrame) -> Column:
     """Name of the first broken rule, NULL for a valid row."""
     reason = F.lit(None).cast("string")
-    for name, test in reversed(RULES):
+    for name, test in reversed(_rules(frame)):
         reason = F.when(F.coalesce(F.expr(test), F.lit(False)), reason).otherwise(name)
     return reason
 
@@ -74,25 +81,36 @@ def with_derived(frame: DataFrame) -> DataFrame:
 
 def clean(bronze: DataFrame, cart_events: Sequence[str] = CART_EVENTS) -> DataFrame:
     """The silver table."""
-    return with_derived(one_per_event(passing(bronze.drop("ingestion_ts")), cart_events))
+    return with_derived(one_per_event(passing(bronze.drop("ingestion_ts")).drop(UNREADABLE), cart_events))
 
 
 def rejected(bronze: DataFrame, cart_events: Sequence[str] = CART_EVENTS) -> DataFrame:
     """Every row ``clean`` leaves out, with its reason.
 
-    Unlike the survivors, the duplicates of one key can be a third of the table, and all of them
-    are wanted. They are ranked in two steps: first within (key, input split), where a group is
-    never larger than a split, then the one leader of each such group against the other leaders
-    of its key. A row that is no leader is out already and stays in its own group in step two.
+    Most rows have no duplicate. The keys are counted first, with partial sums, and only rows of
+    keys that occur twice or more are ranked. The repeated keys are broadcast if they are few, as
+    measured once they are written; else they are joined by a shuffle.
+
+    The duplicates of one key can be a third of the table, and all of them are wanted. They are ranked
+    in two steps: first within (key, input split), where a group is never larger than a split, then the
+    one leader of each such group against the other leaders of its key. A row that is no leader is out
+    already and stays in its own group in step two.
     """
-    frame = bronze.drop("ingestion_ts").withColumn("reason", broken_rule())
+    frame = bronze.drop("ingestion_ts")
+    frame = frame.withColumn("reason", broken_rule(frame))
     invalid = frame.where("reason IS NOT NULL")
-    order = survivor_order([c for c in frame.columns if c != "reason"], cart_events)
+    valid = frame.where("reason IS NULL")
+    counted = valid.groupBy(*EVENT_KEY).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").drop("_rows")
+    repeated = written_once(counted, "repeated-keys")
+    if repeated.count() <= MOST_BROADCAST_KEYS:
+        repeated = F.broadcast(repeated)
+    same = [F.col(f"own.{k}").eqNullSafe(F.col(f"key.{k}")) for k in EVENT_KEY]
+    rows = valid.alias("own").join(repeated.alias("key"), all_of(same), "left_semi")
+    order = survivor_order([c for c in frame.columns if c not in ("reason", UNREADABLE)], cart_events)
     local = Window.partitionBy(*EVENT_KEY, "_split").orderBy(*order)
     leaders = Window.partitionBy(*EVENT_KEY, "_group").orderBy(*order)
     duplicates = (
-        frame.where("reason IS NULL")
-        .withColumn("_split", F.spark_partition_id())
+        rows.withColumn("_split", F.spark_partition_id())
         .withColumn("_local", F.row_number().over(local))
         .withColumn("_group", F.when(F.col("_local") > 1, F.col("_split")))
         .withColumn("_final", F.row_number().over(leaders))

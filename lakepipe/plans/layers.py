@@ -18,7 +18,7 @@ from lakepipe.ml.training import train_all
 from lakepipe.operators import cleaning, gold
 from lakepipe.operators.zorder import zorder
 from lakepipe.plans.verify import layer_checks
-from lakepipe.session import size_shuffles
+from lakepipe.session import sized_shuffles
 from lakepipe.sources.feed import read_csv_events, stamp_ingestion
 from lakepipe.sources.versions import Store
 
@@ -32,14 +32,15 @@ FILE_TARGET_BYTES = 256 * 1024 * 1024
 class StepLog:
     """What was done, how many rows it left and how long it took. A count of 0 is kept."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, store: Store):
+        self.spark, self.store = store.spark, store
         self.rows: list[tuple] = []
 
-    def run(self, step: str, work: Callable[[], DataFrame]) -> DataFrame:
+    def run(self, step: str, table: str, work: Callable[[], DataFrame]) -> DataFrame:
+        """``work`` publishes ``table``; its rows are those that the publish logged."""
         started = time.time()
         written = work()
-        self.rows.append((step, written.count(), time.time() - started))
+        self.rows.append((step, self.store.rows(table), time.time() - started))
         return written
 
     def frame(self) -> DataFrame:
@@ -59,18 +60,15 @@ def _clustered(store: Store, table: str, columns: Sequence[str]) -> DataFrame:
 
 def publish_events(store: Store, raw: DataFrame, cluster: bool, cart_events: Sequence[str], steps: StepLog) -> DataFrame:
     """Bronze and silver; returns silver as published."""
-    bronze = steps.run(schemas.BRONZE, lambda: store.publish(stamp_ingestion(raw), schemas.BRONZE))
-    size_shuffles(store.spark, _published_bytes(store, schemas.BRONZE))
-    if cluster:
-        bronze = steps.run(
-            f"{schemas.BRONZE} clustered", lambda: _clustered(store, schemas.BRONZE, BRONZE_CLUSTER)
-        )
-    silver = steps.run(schemas.SILVER, lambda: store.publish(cleaning.clean(bronze, cart_events), schemas.SILVER))
-    if cluster:
-        silver = steps.run(
-            f"{schemas.SILVER} clustered", lambda: _clustered(store, schemas.SILVER, SILVER_CLUSTER)
-        )
-    return silver
+    bronze, silver = schemas.BRONZE, schemas.SILVER
+    rows = steps.run(bronze, bronze, lambda: store.publish(stamp_ingestion(raw), bronze))
+    with sized_shuffles(store.spark, _published_bytes(store, bronze)):
+        if cluster:
+            rows = steps.run(f"{bronze} clustered", bronze, lambda: _clustered(store, bronze, BRONZE_CLUSTER))
+        clean = steps.run(silver, silver, lambda: store.publish(cleaning.clean(rows, cart_events), silver))
+        if cluster:
+            clean = steps.run(f"{silver} clustered", silver, lambda: _clustered(store, silver, SILVER_CLUSTER))
+    return clean
 
 
 def publish_gold(store: Store, silver: DataFrame, cart_events: Sequence[str], steps: StepLog) -> DataFrame:
@@ -80,7 +78,7 @@ def publish_gold(store: Store, silver: DataFrame, cart_events: Sequence[str], st
         schemas.PRODUCTS: gold.product_performance(silver, cart_events),
         schemas.USERS: gold.user_features(silver, cart_events),
     }
-    written = {name: steps.run(name, lambda n=name, p=plan: store.publish(p, n)) for name, plan in plans.items()}
+    written = {name: steps.run(name, name, lambda n=name, p=plan: store.publish(p, n)) for name, plan in plans.items()}
     return written[schemas.USERS]
 
 
@@ -90,7 +88,7 @@ def publish_predictions(store: Store, users: DataFrame, feature_set: str, steps:
     split = store.publish(split, SPLIT_TABLE)
     winner = train_all(split, log, feature_set)
     scored = score_users(log.load_model(winner), split)
-    return steps.run(schemas.PREDICTIONS, lambda: store.publish(scored, schemas.PREDICTIONS))
+    return steps.run(schemas.PREDICTIONS, schemas.PREDICTIONS, lambda: store.publish(scored, schemas.PREDICTIONS))
 
 
 def run_layers(
@@ -110,13 +108,14 @@ def run_layers(
     step costs no earlier one.
     """
     cart_events = CART_EVENTS_STRICT if strict_cart_events else CART_EVENTS
-    steps = StepLog(spark)
     store = Store(spark, root)
+    steps = StepLog(store)
     if isinstance(source, str):
         source = read_csv_events(spark, source)
     silver = publish_events(store, source, cluster, cart_events, steps)
-    users = publish_gold(store, silver, cart_events, steps)
-    publish_predictions(store, users, feature_set, steps)
+    with sized_shuffles(spark, _published_bytes(store, schemas.SILVER)):
+        users = publish_gold(store, silver, cart_events, steps)
+        publish_predictions(store, users, feature_set, steps)
     if register:
         for table in schemas.LAYERS:
             store.register(table)

@@ -11,6 +11,9 @@ PRODUCTS = "gold.product_performance"
 USERS = "gold.user_features"
 PREDICTIONS = "gold.user_purchase_predictions"
 
+# The text of a feed line that does not fit the contract; only tables read from files have it.
+UNREADABLE = "unreadable_line"
+
 LAYERS = (BRONZE, SILVER, DAILY, PRODUCTS, USERS, PREDICTIONS)
 
 RAW_DDL = (

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SHUFFLE_TARGET_BYTES = 64 * 1024 * 1024  # of parquet; two to three times that once decoded
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "12g", **conf: str) -> SparkSession:
@@ -43,14 +44,18 @@ def importable_by_workers(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory every executor can reach.
 
     The root is the session's ``spark.checkpoint.dir``; where that is unset, the session's warehouse
     folder, which a cluster shares as well. No folder of one machine is ever chosen here.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/lakepipe/{purpose}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/lakepipe/{purpose}-{uuid.uuid4().hex}"
 
 
 def written_once(frame: DataFrame, purpose: str) -> DataFrame:
@@ -78,17 +83,31 @@ def stored_bytes(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
 
 
 def shuffle_partitions_for(input_bytes: int, floor: int) -> int:
-    return max(floor, min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / SHUFFLE_TARGET_BYTES)))
+    """One partition per 64 MB of stored input, whatever the size: 1.6 million for 100 TB."""
+    return max(floor, math.ceil(input_bytes / SHUFFLE_TARGET_BYTES))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Within the block a shuffle partition holds about 64 MB of stored ``input_bytes``.
+
+    Never lowers the session's own setting, which holds again after the block: adaptive execution merges
+    partitions that turn out small, but cannot split an aggregation's or a window's that turn out too big.
+    """
+    key = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(key)
+    wanted = shuffle_partitions_for(input_bytes, int(own))
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(key, own)
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the number of shuffle partitions so that one holds about 64 MB of stored ``input_bytes``.
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table of this package under the session's shared folder.
 
-    Never lowers the session's own setting: adaptive execution merges partitions that turn out
-    small, but cannot split an aggregation's or a window's partition that turns out too big.
+    Results that still read one fail afterwards; call it between jobs, not during them.
     """
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(input_bytes, floor)
-    if wanted > floor:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_scratch_root(spark)}/lakepipe")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
