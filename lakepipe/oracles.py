@@ -8,6 +8,7 @@ base AS (
   SELECT event_id,
     date_trunc('second', ts) AS event_time,
     CASE WHEN event_id % 97 = 0 THEN NULL
+         WHEN event_type = 'click' AND event_id % 4 = 0 THEN 'add_to_cart'
          WHEN event_type = 'click' THEN 'cart'
          WHEN event_type = 'purchase' THEN 'purchase'
          ELSE 'view' END AS event_type,
@@ -90,6 +91,30 @@ users AS (
   FROM silver GROUP BY user_id),
 labelled AS (SELECT *, CAST(CASE WHEN purchases > 0 THEN 1 ELSE 0 END AS INTEGER) AS label FROM users)"""
 
+# What the query over a damaged feed writes unreadable: times of some users, prices of others.
+_DAMAGED = "coalesce(user_id % 50 = 0 OR user_id % 70 = 1, FALSE)"
+
+_TRAINED = """SELECT 'train_size' AS "check", count(*) FILTER (WHERE is_train) AS value FROM parts
+UNION ALL SELECT 'test_size', count(*) FILTER (WHERE NOT is_train) FROM parts
+UNION ALL SELECT 'train_buyers', CAST(sum(label) FILTER (WHERE is_train) AS BIGINT) FROM parts
+UNION ALL SELECT 'test_buyers', CAST(sum(label) FILTER (WHERE NOT is_train) AS BIGINT) FROM parts
+UNION ALL SELECT 'features', 7
+UNION ALL SELECT 'rows_scored', count(*) FILTER (WHERE NOT is_train) FROM parts
+UNION ALL SELECT * FROM (VALUES ('probability_out_of_range', 0), ('class_against_threshold', 0),
+  ('metrics_recomputed', 3), ('metrics_not_as_logged', 0), ('models_stored', 1))"""
+
+
+def _strict(tables: str) -> str:
+    """The same tables with ``add_to_cart`` as the only cart event; the duplicates' order stays."""
+    return tables.replace(_CART, "event_type = 'add_to_cart'")
+
+
+_FUNNEL = """SELECT round(carts * 100.0::DOUBLE / nullif(events, 0), 2) AS view_to_cart_pct,
+  round(bought * 100.0::DOUBLE / nullif(carts, 0), 2) AS cart_to_purchase_pct,
+  round(bought * 100.0::DOUBLE / nullif(events, 0), 2) AS overall_conversion_pct
+FROM (SELECT CAST(sum(cart_adds) AS DOUBLE) AS carts, CAST(sum(purchases) AS DOUBLE) AS bought,
+        CAST(sum(total_views) AS DOUBLE) AS events FROM products) t"""
+
 _PRICE_SCORE = "avg_price / (avg_price + 100.0::DOUBLE * views + 1.0::DOUBLE)"
 _VIEWS_SCORE = "1.0::DOUBLE - CAST(views AS DOUBLE) / total_events"
 
@@ -226,6 +251,30 @@ UNION ALL SELECT 'other_table',
 FROM events""",
         ),
         "publish_table": raw,
+        "append_published": _with(
+            _RAW,
+            """SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS rows_logged, count(*) AS rows_read,
+  TRUE AS files_kept FROM raw WHERE product_id % 3 <> 0 OR product_id IS NULL
+UNION ALL SELECT 1, 'APPEND', count(*), count(*), TRUE FROM raw""",
+        ),
+        "ingest_unreadable": _with(
+            _SILVER.replace("FROM raw WHERE", f"FROM raw WHERE NOT {_DAMAGED} AND"),
+            f"""SELECT reason, count(*) AS rows FROM (
+  SELECT 'unreadable' AS reason FROM raw WHERE {_DAMAGED}
+  UNION ALL SELECT reason FROM (SELECT {reason} AS reason FROM raw WHERE NOT {_DAMAGED}) t WHERE reason IS NOT NULL
+  UNION ALL SELECT 'duplicate' FROM ranked WHERE place > 1
+  UNION ALL SELECT 'kept' FROM silver) u GROUP BY reason""",
+        ),
+        "ml_random_forest": _with(_STRATIFIED, _TRAINED),
+        "ml_logistic_regression": _with(_STRATIFIED, _TRAINED),
+        "ml_model_choice": """SELECT CAST(2 AS BIGINT) AS runs, CAST(3 AS BIGINT) AS metrics_compared,
+  TRUE AS winner_has_highest_auc, TRUE AS winner_by_tie_rule, TRUE AS auc_in_range""",
+        "ml_score_users": _with(
+            _STRATIFIED,
+            """SELECT user_id, total_events, total_spent, avg_price, is_train, TRUE AS probability_in_range,
+  TRUE AS probability_rounded, TRUE AS class_by_threshold, TRUE AS text_by_class
+FROM parts JOIN labelled USING (user_id)""",
+        ),
         "publish_history": _with(
             _SILVER,
             """SELECT 'bronze.events' AS table_name, CAST(0 AS BIGINT) AS version, 'WRITE' AS operation,
@@ -259,6 +308,9 @@ UNION ALL SELECT {columns}, 'duplicate' FROM ranked WHERE place > 1""",
         "daily_revenue": _with(_DAILY, "SELECT * FROM daily ORDER BY event_date NULLS FIRST"),
         "product_performance": _with(_PRODUCTS, "SELECT * FROM products"),
         "user_features": _with(_USERS, "SELECT * FROM users"),
+        "product_performance_strict": _with(_strict(_PRODUCTS), "SELECT * FROM products"),
+        "user_features_strict": _with(_strict(_USERS), "SELECT * FROM users"),
+        "purchase_funnel_strict": _with(_strict(_PRODUCTS), _FUNNEL),
         "event_type_distribution": _with(
             _SILVER, 'SELECT event_type, count(*) AS "count" FROM silver GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST'
         ),
@@ -269,11 +321,7 @@ ORDER BY total_revenue DESC NULLS LAST, event_date NULLS LAST LIMIT 10""",
         ),
         "purchase_funnel": _with(
             _PRODUCTS,
-            """SELECT round(carts * 100.0::DOUBLE / nullif(events, 0), 2) AS view_to_cart_pct,
-  round(bought * 100.0::DOUBLE / nullif(carts, 0), 2) AS cart_to_purchase_pct,
-  round(bought * 100.0::DOUBLE / nullif(events, 0), 2) AS overall_conversion_pct
-FROM (SELECT CAST(sum(cart_adds) AS DOUBLE) AS carts, CAST(sum(purchases) AS DOUBLE) AS bought,
-        CAST(sum(total_views) AS DOUBLE) AS events FROM products) t""",
+            _FUNNEL,
         ),
         "prediction_summary": _with(
             _PREDICTIONS,

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from lakepipe import schemas
-from lakepipe.functions.columns import price_band, verdict
+from lakepipe.functions.columns import CART_EVENTS_STRICT, price_band, verdict
 from lakepipe.ml import features, metrics, runs, split
 from lakepipe.ml.scoring import as_predictions, score_users
-from lakepipe.ml.training import train_all, train_and_log
+from lakepipe.ml.training import apply, train_all, train_and_log
 from lakepipe.operators import cleaning, gold, quality, reports
 from lakepipe.operators.zorder import zorder
 from lakepipe.plans.verify import layer_checks
@@ -48,8 +48,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Two groupings read the clean events, so they are written once, as in the full chain.
-    return gold.user_features(written_once(_silver(spark, sf_dir), "silver"))
+    return gold.user_features(_silver(spark, sf_dir))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +102,22 @@ def _rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_csv_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "feed")
     raw_events(spark, sf_dir).write.option("header", True).csv(path)
-    return _wall_clock(read_csv_events(spark, path))
+    events = read_csv_events(spark, path)
+    return _wall_clock(events.where(F.col(schemas.UNREADABLE).isNull()).drop(schemas.UNREADABLE))
+
+
+@query
+def ingest_unreadable(spark, sf_dir):
+    """A written feed with damaged times and prices: what cleaning keeps, and what it rejects for which reason."""
+    path = scratch_dir(spark, "damaged")
+    raw = raw_events(spark, sf_dir)
+    time = F.when(F.col("user_id") % 50 == 0, "01/10/2019 00:00").otherwise(F.col("event_time").cast("string"))
+    price = F.when(F.col("user_id") % 70 == 1, "oops").otherwise(F.col("price").cast("string"))
+    raw.withColumns({"event_time": time, "price": price}).write.option("header", True).csv(path)
+    bronze = written_once(read_csv_events(spark, path), "bronze")
+    kept = cleaning.clean(bronze).select(F.lit("kept").alias("reason"))
+    outcomes = cleaning.rejected(bronze).select("reason").unionByName(kept)
+    return outcomes.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
@@ -114,8 +128,7 @@ def bronze_audit(spark, sf_dir):
 
 @query
 def schema_check(spark, sf_dir):
-    """Three batches offered to a published folder; a batch that breaks the contract adds no row."""
-    root = scratch_dir(spark, "append")
+    """Three batches offered to the published table; a batch that breaks the contract adds no row."""
     raw = raw_events(spark, sf_dir)
     batches = {
         "as_declared": raw,
@@ -124,12 +137,12 @@ def schema_check(spark, sf_dir):
     }
     rows = []
     for name, batch in batches.items():
-        path = f"{root}/{name}"
-        raw.where("false").write.parquet(path)
-        tables.append_outcome(tables.append_files, batch, path, schemas.raw_schema())
+        store = _store(spark, "append")
+        store.publish(stamp_ingestion(raw.where("false")), schemas.BRONZE)
+        tables.append_outcome(store.append, stamp_ingestion(batch), schemas.BRONZE)
         problems = quality.schema_problems(batch.schema, schemas.raw_schema())
         listed = ",".join(f"{column}:{problem}" for column, problem, _, _ in problems)
-        kept = spark.read.schema(schemas.raw_schema()).parquet(path)
+        kept = store.read(schemas.BRONZE)
         counted = reports.row_counts({"offered": batch, "accepted": kept})
         rows.append(
             counted.agg(
@@ -145,14 +158,33 @@ def schema_check(spark, sf_dir):
 @query
 def publish_table(spark, sf_dir):
     store = _store(spark, "publish")
-    store.publish(raw_events(spark, sf_dir), schemas.BRONZE)
-    return _wall_clock(store.read(schemas.BRONZE))
+    store.publish(stamp_ingestion(raw_events(spark, sf_dir)), schemas.BRONZE)
+    return _wall_clock(store.read(schemas.BRONZE).drop("ingestion_ts"))
+
+
+@query
+def append_published(spark, sf_dir):
+    """A day's feed appended to the published table: each version's rows, and whether older files are still its own."""
+    store = _store(spark, "days")
+    raw = stamp_ingestion(raw_events(spark, sf_dir))
+    later = F.coalesce(F.col("product_id") % 3 == 0, F.lit(False))
+    first = store.publish(raw.where(~later), schemas.BRONZE)
+    second = store.append(raw.where(later), schemas.BRONZE)
+    kept = set(first.inputFiles()) < set(second.inputFiles())
+    logged = store.history(schemas.BRONZE).select(
+        "version", "operation", F.col("operationMetrics")["numOutputRows"].cast("bigint").alias("rows_logged")
+    )
+    read = [
+        store.read(schemas.BRONZE, v).agg(F.lit(v).cast("bigint").alias("version"), F.count(F.lit(1)).alias("rows_read"))
+        for v in (0, 1)
+    ]
+    return logged.join(read[0].unionByName(read[1]), "version").withColumn("files_kept", F.lit(kept))
 
 
 @query
 def publish_history(spark, sf_dir):
     store = _store(spark, "history")
-    bronze = store.publish(raw_events(spark, sf_dir), schemas.BRONZE)
+    bronze = store.publish(stamp_ingestion(raw_events(spark, sf_dir)), schemas.BRONZE)
     store.publish(_silver(spark, sf_dir), schemas.SILVER)
     store.publish(zorder(bronze, ["user_id", "event_type"], 4), schemas.BRONZE, "OPTIMIZE")
     listed = [
@@ -170,8 +202,9 @@ def publish_history(spark, sf_dir):
 @query
 def zorder_rewrite(spark, sf_dir):
     store = _store(spark, "zorder")
-    bronze = store.publish(raw_events(spark, sf_dir), schemas.BRONZE)
-    return _wall_clock(store.publish(zorder(bronze, ["user_id", "event_type"], 8), schemas.BRONZE, "OPTIMIZE"))
+    bronze = store.publish(stamp_ingestion(raw_events(spark, sf_dir)), schemas.BRONZE)
+    rewritten = store.publish(zorder(bronze, ["user_id", "event_type"], 8), schemas.BRONZE, "OPTIMIZE")
+    return _wall_clock(rewritten.drop("ingestion_ts"))
 
 
 # --- quality and cleaning -----------------------------------------------------------------------
@@ -239,6 +272,21 @@ def user_features(spark, sf_dir):
     return _users(spark, sf_dir)
 
 
+@query
+def product_performance_strict(spark, sf_dir):
+    return gold.product_performance(_silver(spark, sf_dir), CART_EVENTS_STRICT)
+
+
+@query
+def user_features_strict(spark, sf_dir):
+    return gold.user_features(_silver(spark, sf_dir), CART_EVENTS_STRICT)
+
+
+@query
+def purchase_funnel_strict(spark, sf_dir):
+    return reports.purchase_funnel(gold.product_performance(_silver(spark, sf_dir), CART_EVENTS_STRICT))
+
+
 @query
 def event_type_distribution(spark, sf_dir):
     return reports.event_type_distribution(_silver(spark, sf_dir))
@@ -260,17 +308,17 @@ def prediction_summary(spark, sf_dir):
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six tables; those that others are made from are written once. Predictions by rule."""
+    """The six tables, each written once. Predictions by rule."""
     bronze = written_once(raw_events(spark, sf_dir), "bronze")
     silver = written_once(cleaning.clean(bronze), "silver")
     users = written_once(gold.user_features(silver), "users")
     return {
         schemas.BRONZE: bronze,
         schemas.SILVER: silver,
-        schemas.DAILY: gold.daily_revenue(silver),
-        schemas.PRODUCTS: gold.product_performance(silver),
+        schemas.DAILY: written_once(gold.daily_revenue(silver), "daily"),
+        schemas.PRODUCTS: written_once(gold.product_performance(silver), "products"),
         schemas.USERS: users,
-        schemas.PREDICTIONS: _rule_predictions(features.with_label(users)),
+        schemas.PREDICTIONS: written_once(_rule_predictions(features.with_label(users)), "predictions"),
     }
 
 
@@ -365,9 +413,37 @@ def _split_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trained(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """One real training run, as (check, value) rows of what must hold for any model."""
     log = runs.RunLog(spark, scratch_dir(spark, kind))
-    train_and_log(_split_users(spark, sf_dir), kind, log, "reference")
-    return log.table().where("kind <> 'model'").select("run_name", "kind", "key", "value")
+    parts = _split_users(spark, sf_dir)
+    run = train_and_log(parts, kind, log, "reference")
+    logged = log.table()
+    scored = log.scored(run.run_id)
+    logged_metrics = runs.metric_rows(logged).select("metric", F.col("value").alias("logged"))
+    again = metrics.evaluate(scored).join(logged_metrics, "metric")
+    off = ~F.coalesce(F.abs(F.col("value") - F.col("logged")) < 1e-12, F.lit(False))
+
+    def param(key):
+        return logged.where((F.col("kind") == "param") & (F.col("key") == key)).agg(F.max("value").cast("bigint").alias("v"))
+
+    def number(frame, value):
+        return frame.agg(value.cast("bigint").alias("v"))
+
+    checks = {
+        "train_size": param("train_size"),
+        "test_size": param("test_size"),
+        "train_buyers": number(parts.where("is_train"), F.sum("label")),
+        "test_buyers": number(scored, F.sum("label")),
+        "features": number(logged.where("key = 'features'"), F.max(F.size(F.split("value", ",")))),
+        "rows_scored": number(scored, F.count(F.lit(1))),
+        "probability_out_of_range": number(scored, F.count_if(~F.col("score").between(0.0, 1.0))),
+        "class_against_threshold": number(scored, F.count_if((F.col("score") > 0.5) != (F.col("prediction") == 1))),
+        "metrics_recomputed": number(again, F.count(F.lit(1))),
+        "metrics_not_as_logged": number(again, F.count_if(off)),
+        "models_stored": number(logged.where("kind = 'model'"), F.count(F.lit(1))),
+    }
+    rows = [frame.select(F.lit(name).alias("check"), F.col("v").alias("value")) for name, frame in checks.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query
@@ -380,8 +456,47 @@ def ml_logistic_regression(spark, sf_dir):
     return _trained(spark, sf_dir, "logistic_regression")
 
 
+def _chosen(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, runs.RunLog, str]:
+    parts = _split_users(spark, sf_dir)
+    log = runs.RunLog(spark, scratch_dir(spark, "models"))
+    return parts, log, train_all(parts, log)
+
+
+@query
+def ml_model_choice(spark, sf_dir):
+    """Comparison and choice over two trained runs, against the metrics as logged."""
+    _, log, winner = _chosen(spark, sf_dir)
+    measured = runs.metric_rows(log.table())
+    compared = runs.compare(measured)
+    auc = compared.where("metric = 'auc'")
+    forest, regression = F.col("random_forest"), F.col("logistic_regression")
+    won = measured.where((F.col("run_id") == winner) & (F.col("metric") == "auc")).select("run_name", "value")
+    by_rule = F.when(forest >= regression, "random_forest").otherwise("logistic_regression")
+    return auc.join(won.withColumn("metric", F.lit("auc")), "metric").select(
+        F.lit(measured.select("run_id").distinct().count()).cast("bigint").alias("runs"),
+        F.lit(compared.count()).cast("bigint").alias("metrics_compared"),
+        (F.col("value") == F.greatest(forest, regression)).alias("winner_has_highest_auc"),
+        (F.col("run_name") == by_rule).alias("winner_by_tie_rule"),
+        (F.greatest(forest, regression) <= 1.0).alias("auc_in_range"),
+    )
+
+
 @query
 def ml_score_users(spark, sf_dir):
-    labelled = _split_users(spark, sf_dir)
-    log = runs.RunLog(spark, scratch_dir(spark, "models"))
-    return score_users(log.load_model(train_all(labelled, log)), labelled)
+    """All users scored by the winner: the columns that SQL can derive, and what must hold for the others."""
+    parts, log, winner = _chosen(spark, sf_dir)
+    model = log.load_model(winner)
+    raw = apply(model, parts).select("user_id", "score")
+    scored = score_users(model, parts).join(raw, "user_id")
+    text = F.when(F.col("will_purchase") == 1, "Likely to Purchase").otherwise("Not Likely to Purchase")
+    return scored.select(
+        "user_id",
+        "total_events",
+        "total_spent",
+        "avg_price",
+        "is_train",
+        F.col("purchase_probability").between(0.0, 1.0).alias("probability_in_range"),
+        (F.col("purchase_probability") == F.bround("score", 4)).alias("probability_rounded"),
+        ((F.col("score") > 0.5) == (F.col("will_purchase") == 1)).alias("class_by_threshold"),
+        (F.col("purchase_label") == text).alias("text_by_class"),
+    )

@@ -22,7 +22,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.dayofmonth("ts")
     kind = _blank_every(
         97,
-        F.when(F.col("event_type") == "click", "cart")
+        F.when((F.col("event_type") == "click") & (F.col("event_id") % 4 == 0), "add_to_cart")
+        .when(F.col("event_type") == "click", "cart")
         .when(F.col("event_type") == "purchase", "purchase")
         .otherwise("view"),
     )
