@@ -16,7 +16,6 @@ are packed each by itself. Other columns are ignored.
 from __future__ import annotations
 
 import json
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,26 +27,22 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from lakepipe.llm import store
-from lakepipe.llm.bpe import MOST_CACHED, byte_names, encode_apart, one_thread
+from lakepipe.llm.bpe import byte_names, one_thread
 from lakepipe.llm.words import mix
 from lakepipe.session import written_once
 
 DIMENSIONS, BITS = 4, 15
 
-# Bytes that make white space outside the two plain cases of a single space and a single line end.
-_UNUSUAL = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\r", b"\x0b", b"\x0c", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80",
-            b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
-
 #: Fixed value: how byte-level tokenizers of this family split text before merging.
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class ByteBpe:
-    """A byte-level tokenizer file; words that occur again are looked up.
+    """The ids of a byte-level tokenizer file.
 
-    Its pre-tokens begin at a space that stands alone or at a line end that stands alone, so such a
-    text is encoded word by word. Every other text goes to the library whole. Words go to a quicker
-    encoder over the same vocabulary, as long as the file's merges are in the order of their ids.
+    The tokenizers library reads the file; texts that hold the string of a special token go to it. All
+    others go to a quicker encoder over the same vocabulary, which gives the same ids as long as the
+    file's merges are in the order of their ids.
     """
 
     def __init__(self, path: str):
@@ -55,8 +50,6 @@ class ByteBpe:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self._special = tuple(t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values())
-        self._bare: dict[bytes, bytes] = {}
-        self._spaced: dict[bytes, bytes] = {}
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         vocab, merges = model["vocab"], model["merges"]
@@ -65,39 +58,12 @@ class ByteBpe:
             raise ValueError("the merges are not in the order of their ids")
         byte_of = {name: b for b, name in enumerate(byte_names())}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if all(c in byte_of for c in token)}
-        self._quick = tiktoken.Encoding("words", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self._line_end = encode_apart(self._tokenizer, ["\n"])[0]
-
-    def _learn(self, words: list[bytes], before: str, known: dict[bytes, bytes]) -> None:
-        """Adds the ids of ``before`` and each word to ``known``."""
-        encode, pack = self._quick.encode_ordinary, struct.pack
-        for word in words:
-            ids = encode(before + word.decode())
-            known[word] = pack(f"<{len(ids)}I", *ids)
-
-    def _plain(self, text: bytes) -> bool:
-        if not text or text[0] in b" \n" or text[-1] in b" \n":
-            return False
-        return not any(u in text for u in _UNUSUAL) and not any(s in text for s in self._special)
-
-    def encode_batch(self, texts: list[bytes]) -> list[bytes]:
-        if len(self._bare) + len(self._spaced) > MOST_CACHED:
-            self._bare, self._spaced = {}, {}
-        out: list[bytes | None] = [None] * len(texts)
-        split = {}
-        for i, text in enumerate(texts):
-            if self._plain(text):
-                split[i] = [line.split(b" ") for line in text.split(b"\n")]
-            else:
-                out[i] = encode_apart(self._tokenizer, [text.decode()])[0]
-        bare, spaced = self._bare, self._spaced
-        heads = {words[0] for lines in split.values() for words in lines}
-        tails = set().union(*[words[1:] for lines in split.values() for words in lines])
-        self._learn(list(heads - bare.keys()), "", bare)
-        self._learn(list(tails - spaced.keys()), " ", spaced)
-        for i, lines in split.items():
-            out[i] = self._line_end.join([bare[w[0]] + b"".join(map(spaced.__getitem__, w[1:])) for w in lines])
-        return out
+        self._quick = tiktoken.Encoding("texts", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: bytes) -> np.ndarray:
+        if any(s in text for s in self._special):
+            return np.array(self._tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
+        return self._quick.encode_to_numpy(text.decode(), disallowed_special=()).astype("<u4", copy=False)
 
 
 @lru_cache(maxsize=1)
@@ -156,12 +122,12 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, closing_id: int =
     tokens as little-endian unsigned 32-bit integers.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    closing = np.array([closing_id], "<u4").tobytes()
+    closing = np.uint32(closing_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(tokenizer)
         for batch, texts in store.chunks(batches, "text", 2_000_000):
-            ids = [np.frombuffer(i + closing, "<u4") for i in bpe.encode_batch(texts)]
+            ids = [np.append(bpe.encode(text), closing) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
