@@ -51,7 +51,7 @@ def templates(texts: list[bytes], min_tokens: int = MIN_TOKENS) -> tuple[np.ndar
     text_of = np.searchsorted(begins, ends, side="right") - 1
     number = np.arange(len(ends)) - np.searchsorted(text_of, text_of)
     line = np.searchsorted(ends, words.first)
-    digits = np.concatenate([np.zeros(1, np.int64), np.cumsum((data >= 48) & (data <= 57))])
+    digits = np.concatenate([np.zeros(1, np.int32), np.cumsum((data >= 48) & (data <= 57), dtype=np.int32)])
     varies = digits[words.first + words.length] > digits[words.first]
     tokens = np.where(varies, _VARIABLE, words.hashes)
     count = np.bincount(line, minlength=len(ends))
@@ -82,7 +82,7 @@ def _count(docs: DataFrame, folder: str, bits: int, min_docs: int, min_tokens: i
     """Writes the recurring templates and the first document of each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in store.chunks(batches, "text", 6_000_000):
+        for batch, texts in store.chunks(batches, "text", 1_000_000):
             keys, lines, text_of, _ = templates(texts, min_tokens)
             ids = np.array([_NO_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)
             order = np.lexsort((text_of[lines], keys))
@@ -148,7 +148,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = store.Shards(folder, bits)
-        for batch, texts in store.chunks(batches, "text", 6_000_000):
+        for batch, texts in store.chunks(batches, "text", 1_000_000):
             keys, lines, text_of, number = templates(texts, min_tokens)
             ids = np.array([_NO_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)
             wanted, at = np.unique(keys, return_inverse=True)
@@ -180,7 +180,8 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
 
 def cleaned(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """The rows and columns of ``docs`` with cleaned texts, without the documents that have no words left."""
-    plain = drop_recurring(docs.select("doc_id", "text", F.struct("*").alias("row")), min_docs, min_tokens)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    plain = drop_recurring(docs.select("doc_id", "text", others.alias("row")), min_docs, min_tokens)
     empty = ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     left = plain.where(F.col("text").isNull() | (F.size("dropped_lines") == 0) | ~empty)
     return left.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
