@@ -1,0 +1,86 @@
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakepipe.llm import decision_list, queries
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def facts(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    often = Counter(zip(w, w[1:], w[2:]))
+    covered = set()
+    for i in range(len(w) - 2):
+        if often[tuple(w[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            again += line in seen
+            seen.add(line)
+    failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), again, len(covered), failed)
+
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def test_query_against_brute_force(spark):
+    docs = {d["doc_id"]: d["text"] for d in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    rows = queries.op6_decision_list(spark, SMALL).collect()
+    assert len(rows) == len(docs)
+    wrong = []
+    for r in rows:
+        assert tuple(r[n] for n in NAMES) == facts(docs[r["doc_id"]])
+        assert not (r["base_failed"] and r["kept"])
+        if not r["base_failed"] and r["doc_id"] in labels:
+            wrong.append(r["kept"] != (labels[r["doc_id"]] == 1))
+    assert sum(wrong) <= 0.02 * len(wrong)
+
+
+def test_no_python_on_the_main_path(spark):
+    plan = queries.op6_decision_list(spark, SMALL)._jdf.queryExecution().toString()
+    statistics = decision_list.text_statistics(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    plan += statistics._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_odd_rows(odd_docs, no_docs, odd_labels):
+    rows = decision_list.text_statistics(odd_docs).select("given", *NAMES[:-1], decision_list.base_failed().alias("b")).collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        assert (*(r[n] for n in NAMES[:-1]), r["b"]) == facts(r["given"])
+    kept = decision_list.keep_good(odd_docs, odd_labels)
+    assert kept.columns == odd_docs.columns and kept.schema == odd_docs.schema
+    assert decision_list.keep_good(no_docs, odd_labels).count() == 0
+    assert decision_list.keep_good(odd_docs, odd_labels.where("false")).count() == kept.count()
+
+
+def rows_of(spark, n=900):
+    x, y = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 1000, F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1000)) / 1000
+    values = {s: F.lit(0.5) for s in decision_list.STATISTICS} | {"symbol_share": x, "upper_share": y}
+    frame = spark.range(n).select("id", *[v.alias(s) for s, v in values.items()], (F.col("id") % 3 != 0).alias("grow"))
+    bad = ((F.col("symbol_share") > 0.7) & (F.col("upper_share") <= 0.5)) | (F.col("upper_share") > 0.9)
+    return frame.withColumn("bad", bad.cast("int"))
+
+
+def test_conjunctions_are_found(spark):
+    frame = rows_of(spark)
+    rules = decision_list.learn(frame)
+    used = {c.statistic for rule in rules.rules for c in rule}
+    assert used == {"symbol_share", "upper_share"} and any(len(rule) > 1 for rule in rules.rules)
+    wrong = frame.where(rules.keeps() == (F.col("bad") == 1)).count()
+    assert wrong <= 0.05 * 900
+    assert "reject if" in str(rules) and str(rules).endswith("keep")
+
+
+@pytest.mark.parametrize("value", [0, 1])
+def test_one_class_gives_an_empty_list_or_none_that_errs(spark, value):
+    frame = rows_of(spark).withColumn("bad", F.lit(value))
+    rules = decision_list.learn(frame)
+    assert rules.rules == []

@@ -1,0 +1,110 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from lakepipe.llm import graph, ngram_join
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sets_of(rows, width):
+    out = {}
+    for i, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(FOLD))
+        out[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+    return out
+
+
+def brute(rows, width, percent):
+    sets, parent = sets_of(rows, width), {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for n, x in enumerate(ids):
+        for y in ids[:n]:
+            common = len(sets[x] & sets[y])
+            if common and 100 * common >= percent * len(sets[x] | sets[y]):
+                a, b = root(x), root(y)
+                parent[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def corpus(seed=3):
+    """Groups of copies and near copies, a chain, shared passages and short texts."""
+    pick = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    passage = " ".join(pick.choices(words, k=25))
+    texts = []
+    for _ in range(25):
+        base = pick.choices(words, k=pick.randrange(20, 120))
+        texts.append(" ".join(base))
+        for _ in range(pick.randrange(5)):
+            copy = list(base)
+            for _ in range(pick.randrange(3)):
+                copy[pick.randrange(len(copy))] = pick.choice(words)
+            texts.append(" ".join(copy))
+    chain = pick.choices(words, k=100)
+    for k in range(12):
+        chain = chain[2:] + pick.choices(words, k=2)
+        texts.append(" ".join(chain))
+    texts += [passage + " " + " ".join(pick.choices(words, k=k)) for k in (1, 2, 3, 10, 40, 80)] + [passage] * 6
+    texts += ["one", "One", "two words", "", " ", "a b c", "A B C"]
+    pick.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def found(spark, rows, width, percent):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = ngram_join.jaccard_components(frame, width, percent)
+    assert out.columns == ["doc_id", "n_shingles", "component_id"]
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()}
+
+
+def test_components_as_by_brute_force(spark):
+    rows = corpus()
+    for width, percent in ((3, 90), (5, 80)):
+        assert found(spark, rows, width, percent) == brute(rows, width, percent)
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Every copy differs from the others; few are similar enough to the one that a pass compares them with."""
+    pick = random.Random(5)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        copy[pick.randrange(60)] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = ngram_join.jaccard_components(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    assert all(r["component_id"] is None for r in rows if r["doc_id"] is None)
+    by_id = {r["doc_id"]: r for r in rows}
+    assert by_id[0]["n_shingles"] == by_id[1]["n_shingles"] == by_id[2]["n_shingles"] == 0
+    assert by_id[6]["component_id"] == 5 and by_id[8]["n_shingles"] == 1 and by_id[0]["component_id"] == 0
+    assert ngram_join.jaccard_components(no_docs).count() == 0
+    kept = ngram_join.one_per_component(odd_docs)
+    assert kept.columns == odd_docs.columns and kept.where("doc_id = 6").isEmpty()
+    assert kept.where("doc_id = 5").count() == 3 and kept.where("doc_id IS NULL").count() == 2
+
+
+def test_components_of_paths_and_stars(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 200), (7, 300)]
+    got = dict(graph.components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert {got[k] for k in range(41)} == {0} and got[300] == 0 and {got[k] for k in range(100, 140)} == {100}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_blocks_are_paired_across_only(spark):
+    rows = [(1, k, 0) for k in range(50)] + [(1, 90, 90), (1, 91, 91), (1, 92, 91), (2, 5, 0), (2, 6, 0)]
+    pairs = graph.across_blocks(spark.createDataFrame(rows, "bucket long, node long, block long"))
+    assert pairs.count() == 50 * 3 + 2
+    assert pairs.where(F.col("a") >= F.col("b")).isEmpty()
