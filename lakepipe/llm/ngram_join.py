@@ -52,7 +52,7 @@ def _document_counts(docs: DataFrame, width: int, folder: str, bits: int) -> Non
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in store.chunks(batches, "text", 6_000_000):
+        for _, texts in store.chunks(batches, "text", 4_000_000):
             keys = np.sort(_sets(texts, width)[0])
             shards, edges = store.shard_edges(keys, bits)
             rows = []
@@ -94,7 +94,7 @@ def _signatures(docs: DataFrame, width: int, percent: int, folder: str, bits: in
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = store.Shards(folder, bits)
         low = np.uint64(32 - bits)
-        for batch, texts in store.chunks(batches, "text", 2_500_000):
+        for batch, texts in store.chunks(batches, "text", 1_000_000):
             grams, starts = _sets(texts, width)
             known, back = np.unique((grams >> low) << low, return_inverse=True)
             frequency = np.maximum(counts.find(known, "count")[0], 1)[back].astype(np.int64)

@@ -17,6 +17,7 @@ class only, the score tends to that class. Rows that share an id are scored each
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -152,6 +153,12 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], statistics: np.ndarray, label
     return model
 
 
+def _rows_of(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column as views of its values."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = MOST_ROWS) -> Model:
     """Learns ``quality`` of ``labels`` (doc_id, quality) from the texts of ``docs``; ``usable`` tells which ids may be learnt from."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(usable).groupBy("doc_id")
@@ -160,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = M
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``most_rows`` short rows
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in store.chunks(batches, "text"):
+        for batch, texts in store.chunks(batches, "text", 1_000_000):
             buckets, weight, starts, statistics = features(texts)
             ends = pa.array(starts.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
@@ -175,14 +182,15 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = M
             )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        rows, statistics, target = [], np.zeros((0, len(STATISTICS))), np.zeros(0)
-        if table is not None and table.num_rows:
-            lists = [table.column(c).to_pylist() for c in ("doc_id", "label", "buckets", "weights", "statistics")]
-            ordered = sorted(zip(*lists, strict=True))
-            rows = [(np.array(r[2], np.int64), np.array(r[3], np.float64)) for r in ordered]
-            statistics = np.array([r[4] for r in ordered])
-            target = np.array([float(r[1] == 1) for r in ordered])
+        parts = [(b, *(_rows_of(b.column(c)) for c in ("buckets", "weights", "statistics"))) for b in batches]
+        ids = [i for b, *_ in parts for i in b.column("doc_id").to_pylist()]
+        buckets, weights, described = ([r for p in parts for r in p[k]] for k in (1, 2, 3))
+        # Rows that share an id come in the order of their contents, not of their arrival.
+        order = sorted(range(len(ids)), key=lambda k: (ids[k], len(buckets[k]), zlib.crc32(buckets[k].tobytes())))
+        labels = np.concatenate([np.zeros(0), *[b.column("label").to_numpy() for b, *_ in parts]])
+        rows = [(buckets[k], weights[k]) for k in order]
+        statistics = np.array([described[k] for k in order]).reshape(-1, len(STATISTICS))
+        target = (labels[order] == 1).astype(np.float64)
         model = fit(rows, statistics, target)
         parts = [model.cuts, np.array([model.bias]), model.linear, model.low_rank.astype(np.float32)]
         yield pa.RecordBatch.from_pylist([{"parts": [p.tobytes() for p in parts]}], pa.schema([("parts", pa.list_(pa.binary()))]))
@@ -207,7 +215,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in store.chunks(batches, "text"):
+        for batch, texts in store.chunks(batches, "text", 1_000_000):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(shared.value.scores(texts))], names=["doc_id", "score"]
             )
@@ -222,7 +230,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, usable: Column, threshold: flo
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in store.chunks(batches, "text"):
+        for batch, texts in store.chunks(batches, "text", 1_000_000):
             yield batch.filter(pa.array(model.value.scores(texts) >= threshold))
 
     return docs.select(*columns).mapInArrow(run, docs.schema)
