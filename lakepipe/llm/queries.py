@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakepipe.llm import bpe, decision_list, html_text, language_model, licenses, line_templates, ngram_join, packing, quality_model, vector_join
+from lakepipe.llm import (
+    bpe,
+    decision_list,
+    html_text,
+    language_model,
+    licenses,
+    line_templates,
+    ngram_join,
+    oracles,
+    packing,
+    quality_model,
+    vector_join,
+)
 from lakepipe.session import importable_by_workers, written_once
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,4 +127,4 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_licence_rules": licenses.oracle_sql()}
+    return oracles.oracle_sql()
