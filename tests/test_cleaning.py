@@ -113,3 +113,21 @@ def test_dedup_is_idempotent_and_keys_are_unique(raw, rows):
     keys = Counter((r["user_session"], r["event_time"], r["product_id"]) for r in once.collect())
     assert set(keys.values()) <= {1}
     assert Counter(map(tuple, cleaning.one_per_event(once).collect())) == Counter(map(tuple, once.collect()))
+
+
+def test_only_rows_of_repeated_keys_are_ranked(raw, monkeypatch):
+    rows = [row(product=i) for i in range(20)] + [row(product=3, kind="purchase"), row(product=3, kind="cart")]
+    frame = raw(rows)
+    by_broadcast = cleaning.rejected(frame)
+    plan = by_broadcast._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("Window") < plan.index("LeftSemi")
+    assert "BroadcastHashJoin" in by_broadcast._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(cleaning, "MOST_BROADCAST_KEYS", 0)
+    by_shuffle = cleaning.rejected(frame)
+    found = [sorted((r["product_id"], r["event_type"], r["reason"]) for r in f.collect()) for f in (by_broadcast, by_shuffle)]
+    assert found[0] == found[1] == [(3, "cart", "duplicate"), (3, "view", "duplicate")]
+
+
+def test_keys_with_nulls_repeat_too(raw):
+    frame = raw([row(product=1, session=None), row(product=1, session=None, kind="purchase"), row(product=2, session=None)])
+    assert [(r["event_type"], r["reason"]) for r in cleaning.rejected(frame).collect()] == [("view", "duplicate")]

@@ -97,3 +97,11 @@ def test_strict_cart_names(spark, tmp_path):
     assert users.agg(F.sum("cart_adds")).first()[0] == strict
     none = store.read(schemas.PRODUCTS).withColumn("cart_adds", F.lit(0).cast("bigint"))
     assert purchase_funnel(none).first()["cart_to_purchase_pct"] is None
+
+
+def test_the_checks_read_each_table_from_files(spark):
+    from lakepipe.registry import _layers
+
+    for name, frame in _layers(spark, SMALL).items():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" in plan and "Exchange" not in plan and "Aggregate" not in plan, name
