@@ -52,7 +52,7 @@ def _document_counts(docs: DataFrame, width: int, folder: str, bits: int) -> Non
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in store.chunks(batches, "text", 4_000_000):
+        for _, texts in store.chunks(batches, "text", 2_000_000):
             keys = np.sort(_sets(texts, width)[0])
             shards, edges = store.shard_edges(keys, bits)
             rows = []

@@ -7,6 +7,7 @@ row per shard; each merge task writes the arrays of one shard. Nothing passes th
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -113,6 +114,15 @@ class Shards:
         return out
 
 
+def give_back() -> None:
+    """Return memory that this worker process no longer uses to the system; idle workers stay alive."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass  # a C library without that call
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4_000_000):
     """(record batch, its texts as bytes) with at most ``most_bytes`` of text, or one text if that is longer."""
     for batch in batches:
@@ -126,3 +136,5 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4_0
             held += len(text)
         if texts:
             yield batch.slice(begin), texts[begin:]
+        del batch, texts
+        give_back()
