@@ -7,10 +7,15 @@ field as well, so a line has up to 1 + FIELDS templates, and lines that differ w
 one. Because a line's templates depend on the line alone, the tree needs no order of arrival: tasks count
 templates by key, merge tasks add the counts, and no leaf is ever gathered in one place.
 
-A template recurs if lines of ``min_docs`` documents or more match it. Its lines stay in the document with
-the smallest id that has them and are dropped from all others. Lines of fewer than ``min_tokens`` tokens
-are too short to say anything and stay; blocks vary only in lines of ``VARIABLE_FROM`` tokens or more. A
-document that had words and has none left is dropped.
+Every line also is a template of its own, in which digits vary no more than other tokens do; lines of fewer
+than ``FIELDS_FROM`` tokens are only that. Blocks vary in lines of ``VARIABLE_FROM`` tokens or more. Lines of
+fewer than ``min_tokens`` tokens have no template.
+
+The longer the text that documents share, the less it takes chance to explain it: a template recurs if the
+documents with lines that match it, times the tokens it fixes, make ``REPEATED_TOKENS``. Two documents are
+the least (from 50 fixed tokens on) and ``min_docs`` are enough for any template. Its lines stay in the
+document with the smallest id that has them and are dropped from all others. A document that had words and
+has none left is dropped.
 
 Recurring templates are kept as sorted arrays in the shared folder (see ``store``), which the tasks that
 clean the texts map into memory.
@@ -31,14 +36,21 @@ from pyspark.sql import DataFrame, functions as F
 from lakepipe.llm import store
 from lakepipe.llm.words import buffer_of, mix, words_of
 
-DEPTH, FIELDS, VARIABLE_FROM = 2, 3, 8
-MIN_DOCS, MIN_TOKENS = 10, 4
+DEPTH, FIELDS, FIELDS_FROM, VARIABLE_FROM = 2, 3, 4, 8
+MIN_DOCS, MIN_TOKENS = 10, 1
+REPEATED_TOKENS = 100
 _VARIABLE = np.uint64(0x3A3A3A3A3A3A3A3B)
 _NO_ID = np.iinfo(np.int64).max
 
 
-def templates(texts: list[bytes], min_tokens: int = MIN_TOKENS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(template keys, the line of each, the text of each line, each line's number within its text).
+def docs_needed(fixed: np.ndarray, min_docs: int) -> np.ndarray:
+    """The documents that make templates of so many fixed tokens recur."""
+    by_length = -(-REPEATED_TOKENS // np.maximum(1, fixed))
+    return np.minimum(np.maximum(2, by_length), min_docs).astype(np.uint32)
+
+
+def templates(texts: list[bytes], min_tokens: int = MIN_TOKENS) -> tuple[np.ndarray, ...]:
+    """(template keys, the line of each, its fixed tokens, the text of each line, each line's number within its text).
 
     Lines are numbered through the batch; lines without enough tokens have no key.
     """
@@ -53,29 +65,37 @@ def templates(texts: list[bytes], min_tokens: int = MIN_TOKENS) -> tuple[np.ndar
     line = np.searchsorted(ends, words.first)
     digits = np.concatenate([np.zeros(1, np.int32), np.cumsum((data >= 48) & (data <= 57), dtype=np.int32)])
     varies = digits[words.first + words.length] > digits[words.first]
-    tokens = np.where(varies, _VARIABLE, words.hashes)
     count = np.bincount(line, minlength=len(ends))
-    place = np.arange(len(tokens)) - np.searchsorted(line, line)
+    place = np.arange(len(line)) - np.searchsorted(line, line)
     mine = count[line]
     block = np.where(place < DEPTH, 0, 1 + (place - DEPTH) * FIELDS // np.maximum(1, mine - DEPTH))
-    part = mix(tokens + np.uint64(0x9E3779B97F4A7C15) * place.astype(np.uint64))
+    step = np.uint64(0x9E3779B97F4A7C15) * place.astype(np.uint64)
     # Sums of token hashes per line and block wrap around, as hashes may.
-    sums = np.zeros(len(ends) * (FIELDS + 1), np.uint64)
-    cell = line * (FIELDS + 1) + block
-    if len(cell):
-        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-        sums[cell[first]] = np.add.reduceat(part, first)
-    sums = sums.reshape(-1, FIELDS + 1)
-    whole = sums.sum(1, dtype=np.uint64)
+    change = np.concatenate([[True], line[1:] != line[:-1]])[: len(line)]
+    starts = np.flatnonzero(change)
+    runs = np.flatnonzero(change | np.concatenate([[True], block[1:] != block[:-1]])[: len(line)])
+    with_tokens = line[starts]
+
+    def per_line(values: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(ends), values.dtype)
+        out[with_tokens] = np.add.reduceat(values, starts)
+        return out
+
+    plain = mix(words.hashes + step)
+    part = np.where(varies, mix(_VARIABLE + step), plain)
+    fixed = (~varies).astype(np.int64)
+    exact, whole, whole_fixed = per_line(plain), per_line(part), per_line(fixed)
     size = mix(count.astype(np.uint64))
-    some = np.flatnonzero(count >= min_tokens)
-    long = np.flatnonzero(count >= max(min_tokens, VARIABLE_FROM))
-    keys = [mix(whole[some] + size[some])]
-    owners = [some]
-    for f in range(1, FIELDS + 1):
-        keys.append(mix(whole[long] - sums[long, f] + size[long] + np.uint64(f)))
-        owners.append(long)
-    return np.concatenate(keys), np.concatenate(owners), text_of, number
+    # The line itself; the line with its digits variable; and that but for one block.
+    some = np.flatnonzero(count >= max(1, min_tokens))
+    numbered = np.flatnonzero((whole_fixed < count) & (count >= max(min_tokens, FIELDS_FROM)))
+    of, number_of = line[runs], block[runs]
+    free = (number_of > 0) & (count[of] >= max(min_tokens, VARIABLE_FROM))
+    sums, run_fixed = np.add.reduceat(part, runs)[free], np.add.reduceat(fixed, runs)[free]
+    of, number_of = of[free], number_of[free].astype(np.uint64)
+    keys = [exact[some] + size[some], whole[numbered] + size[numbered], whole[of] - sums + size[of] + number_of]
+    held = [count[some], whole_fixed[numbered], whole_fixed[of] - run_fixed]
+    return mix(np.concatenate(keys)), np.concatenate([some, numbered, of]), np.concatenate(held), text_of, number
 
 
 def _count(docs: DataFrame, folder: str, bits: int, min_docs: int, min_tokens: int) -> None:
@@ -83,19 +103,19 @@ def _count(docs: DataFrame, folder: str, bits: int, min_docs: int, min_tokens: i
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in store.chunks(batches, "text", 1_000_000):
-            keys, lines, text_of, _ = templates(texts, min_tokens)
+            keys, lines, fixed, text_of, _ = templates(texts, min_tokens)
             ids = np.array([_NO_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)
             order = np.lexsort((text_of[lines], keys))
-            keys, text = keys[order], text_of[lines][order]
+            keys, text, need = keys[order], text_of[lines][order], docs_needed(fixed, min_docs)[order]
             # A template counts once in a text.
             once = np.concatenate([[True], (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])[: len(keys)]
-            keys, first_id = keys[once], ids[text[once]]
+            keys, first_id, need = keys[once], ids[text[once]], need[once]
             start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[: len(keys)]
             if not len(keys):
                 continue
             n = np.diff(np.append(start, len(keys))).astype(np.uint32)
             least = np.minimum.reduceat(first_id, start)
-            keys = keys[start]
+            keys, need = keys[start], need[start]
             shards, edges = store.shard_edges(keys, bits)
             rows = [
                 {
@@ -103,11 +123,12 @@ def _count(docs: DataFrame, folder: str, bits: int, min_docs: int, min_tokens: i
                     "n": int(hi - lo),
                     "keys": store.pack_sorted(keys[lo:hi]),
                     "docs": store.pack(n[lo:hi]),
+                    "need": store.pack(need[lo:hi]),
                     "first": store.pack(least[lo:hi]),
                 }
                 for shard, lo, hi in zip(shards, edges[:-1], edges[1:], strict=True)
             ]
-            names = [(c, pa.binary()) for c in ("keys", "docs", "first")]
+            names = [(c, pa.binary()) for c in ("keys", "docs", "need", "first")]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), ("n", pa.int64()), *names]))
 
     def merge(table: pa.Table) -> pa.Table:
@@ -118,20 +139,22 @@ def _count(docs: DataFrame, folder: str, bits: int, min_docs: int, min_tokens: i
                 (
                     store.unpack_sorted(row["keys"], n),
                     store.unpack(row["docs"], n, np.uint32),
+                    store.unpack(row["need"], n, np.uint32),
                     store.unpack(row["first"], n, np.int64),
                 )
             )
-        keys, docs, first = (np.concatenate(c) for c in zip(*parts, strict=True))
+        keys, docs, need, first = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         total = np.add.reduceat(docs[order].astype(np.int64), start)
         least = np.minimum.reduceat(first[order], start)
-        recurs = total >= min_docs
+        recurs = total >= need[order][start]
         store.save(folder, shard, key=keys[start][recurs], first=least[recurs])
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([int(recurs.sum())], pa.int64())})
 
-    partial = docs.select("doc_id", "text").mapInArrow(count, "shard int, n long, keys binary, docs binary, first binary")
+    kinds = "shard int, n long, keys binary, docs binary, need binary, first binary"
+    partial = docs.select("doc_id", "text").mapInArrow(count, kinds)
     partial.groupBy("shard").applyInArrow(merge, "shard int, n long").agg(F.sum("n")).first()
 
 
@@ -149,7 +172,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = store.Shards(folder, bits)
         for batch, texts in store.chunks(batches, "text", 1_000_000):
-            keys, lines, text_of, number = templates(texts, min_tokens)
+            keys, lines, _, text_of, number = templates(texts, min_tokens)
             ids = np.array([_NO_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)
             wanted, at = np.unique(keys, return_inverse=True)
             # Absent keys give the largest number as their first document, later than any.
