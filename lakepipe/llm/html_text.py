@@ -5,8 +5,12 @@ Markup is stripped into one line per block element. Lines inside elements that a
 and lines outside the article that consist mostly of links count as blank. The text lengths of ``WINDOW``
 neighbouring lines are summed. Where a sum rises from zero to the threshold there is a surge, where it
 falls back to zero a dive, and the lines between them are kept. A page on which no sum reaches the
-threshold keeps the stretches with its highest sum. Where the page marks an article, stretches outside
-it go.
+threshold keeps the stretches with its highest sum.
+
+An article or main element does not choose lines, it only shapes the distribution: stretches end at its
+edges, skipped elements inside it do not end them, and if such elements hold most of the page's text, text
+outside them counts half. So a teaser in an article element goes where its sums are low, and text outside
+all article elements stays where its sums are high.
 
 Defined results: a null, empty or markup-only page has an empty text; text without any markup is one
 line; elements left open end with the page, and an advert or menu left open ends where an article begins.
@@ -62,19 +66,19 @@ def _is_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
     return bool(_HIDDEN.search(attributes))
 
 
-def lines_of(page: str) -> list[tuple[str, bool, bool]]:
-    """The page's lines as (text, inside an article, blank for the distribution)."""
+def lines_of(page: str) -> list[tuple[str, int, bool]]:
+    """The page's lines as (text, number of the outermost article or 0, blank for the distribution)."""
     page = _RAW.sub("", page)
-    lines: list[tuple[str, bool, bool]] = []
+    lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
-    linked, depth, article, link = 0, 0, 0, 0
+    linked, depth, article, articles, link = 0, 0, 0, 0, 0
     skipped = ""  # the element being skipped
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append((text, article > 0, bool(skipped) or (not article and 2 * linked >= len(text))))
+            lines.append((text, articles if article else 0, bool(skipped) or (not article and 2 * linked >= len(text))))
         parts.clear()
         linked = 0
 
@@ -107,6 +111,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
             if closing:
                 continue
         if name in ARTICLE:
+            articles += not closing and not article
             article = max(0, article + (-1 if closing else 1))
         elif not closing and name not in VOID and not attributes.endswith("/") and _is_boilerplate(name, attributes, article > 0):
             flush()
@@ -117,20 +122,21 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    lines = lines_of(page or "")
+    lines = [line for line in lines_of(page or "") if not (line[1] and line[2])]
     lengths = np.array([0 if blank else len(text) for text, _, blank in lines], np.int64)
     if not lengths.any():
         return ""
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], (lengths > 0).astype(np.int8), [0]])))
-    stretches = []  # from a surge or its foot to the next dive: (begin, end, highest sum, inside an article)
-    for begin, end in zip(edges[0::2], edges[1::2], strict=True):
-        sums = np.convolve(lengths[begin:end], np.ones(window, np.int64))
-        stretches.append((begin, end, int(sums.max()), any(lines[i][1] for i in range(begin, end))))
+    article = np.array([number for _, number, _ in lines], np.int64)
+    outside = 0.5 if 2 * lengths[article > 0].sum() > lengths.sum() else 1.0
+    weighted = np.where(article > 0, 1.0, outside) * lengths
+    edges = np.flatnonzero(np.diff(np.where(lengths > 0, article, -1), prepend=-2, append=-2))
+    stretches = []  # from a surge or its foot to the next dive: (begin, end, highest sum)
+    for begin, end in zip(edges[:-1], edges[1:], strict=True):
+        if lengths[begin]:
+            sums = np.convolve(weighted[begin:end], np.ones(window))
+            stretches.append((begin, end, sums.max()))
     level = min(surge, max(s[2] for s in stretches))
-    kept = [s for s in stretches if s[2] >= level or s[3]]
-    if any(s[3] for s in stretches):
-        kept = [s for s in stretches if s[3]]
-    return "\n".join(lines[i][0] for begin, end, _, _ in kept for i in range(begin, end))
+    return "\n".join(lines[i][0] for begin, end, highest in stretches if highest >= level for i in range(begin, end))
 
 
 def extract(pages: DataFrame) -> DataFrame:

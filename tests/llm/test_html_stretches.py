@@ -1,0 +1,41 @@
+import re
+
+import pytest
+
+from lakepipe.llm import html_text, queries
+
+SMALL = "/root/testdata/sf0.01"
+LONG = "A sentence of the main text that is long enough to be one. " * 3
+
+
+def text(*body):
+    return html_text.main_text("<html><head><title>T</title></head><body>" + "".join(body) + "</body></html>")
+
+
+def test_main_text_beside_teasers_in_article_elements():
+    cards = "".join(f"<article><h3>Teaser {k}</h3><p>Read on.</p></article>" for k in range(3))
+    main = f"<div><h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>"
+    want = "\n".join(["Title", LONG.strip(), "Short.", LONG.strip()])
+    for page in (f"{cards}{main}", f"{main}{cards}", f"{main}<div class=ad>x</div>{cards}"):
+        assert text(page) == want
+
+
+def test_articles_keep_their_short_lines_around_skipped_elements():
+    page = f"<article><h1>Title</h1><div class=share>Share it</div><p>{LONG}</p><aside>x</aside><p>End.</p></article>"
+    assert text(page) == f"Title\n{LONG.strip()}\nEnd."
+
+
+def test_little_text_next_to_an_article_goes():
+    assert text("<p>A line of the site's own.</p>", f"<article><p>{LONG}</p></article>", "<p>Another line.</p>") == LONG.strip()
+    line = "x" * 100  # reaches the threshold, but not at half its weight
+    assert text(f"<p>{line}</p><article><p>{LONG}</p></article>") == LONG.strip()
+
+
+@pytest.mark.parametrize("name", ["div", "section"])
+def test_given_pages_without_their_article_elements(spark, name):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+    rows = queries.op10_main_text(spark, SMALL).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        renamed = re.sub("(</?)article", rf"\1{name}", pages[r["page_id"]])
+        assert "article" not in re.findall("<([a-z]+)", renamed) and html_text.main_text(renamed) == r["text"]
