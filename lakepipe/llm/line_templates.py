@@ -2,13 +2,15 @@
 
 A line descends the tree by its number of tokens and then by its first ``DEPTH`` tokens; tokens that hold
 a digit are variable fields already and all look alike. In the leaf the remaining tokens form ``FIELDS``
-blocks of nearly equal length. A template fixes all blocks, or all but one, which is then a variable
-field as well, so a line has up to 1 + FIELDS templates, and lines that differ within one block share
-one. Because a line's templates depend on the line alone, the tree needs no order of arrival: tasks count
+blocks of nearly equal length, or more where a block would pass ``FIELD_TOKENS`` tokens. A template fixes all
+blocks, or all but one, which is then a variable field as well, so lines that differ within one block share
+one. What a template fixes are its words: tokens with a letter and without a digit. A template with variable
+fields must have ``FIXED_WORDS`` of them or more, and they must be half of the line's tokens; one without
+enough text of its own never recurs. Because a line's templates depend on the line alone, the tree needs no order of arrival: tasks count
 templates by key, merge tasks add the counts, and no leaf is ever gathered in one place.
 
 Every line also is a template of its own, in which digits vary no more than other tokens do; lines of fewer
-than ``FIELDS_FROM`` tokens are only that. Blocks vary in lines of ``VARIABLE_FROM`` tokens or more. Lines of
+than ``FIELDS_FROM`` tokens are only that, and lines without a letter need ``VARIABLE_FROM`` tokens for it. Blocks vary in lines of ``VARIABLE_FROM`` tokens or more. Lines of
 fewer than ``min_tokens`` tokens have no template.
 
 The longer the text that documents share, the less it takes chance to explain it: a template recurs if the
@@ -34,12 +36,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lakepipe.llm import store
-from lakepipe.llm.words import buffer_of, mix, words_of
+from lakepipe.llm.words import Words, buffer_of, mix, words_of
 
 DEPTH, FIELDS, FIELDS_FROM, VARIABLE_FROM = 2, 3, 4, 8
 MIN_DOCS, MIN_TOKENS = 10, 1
 REPEATED_TOKENS = 100
+FIELD_TOKENS, FIXED_WORDS = 8, 2
 _VARIABLE = np.uint64(0x3A3A3A3A3A3A3A3B)
+_LETTERS = np.zeros(256, bool)
+# A-Z, a-z, and first bytes of characters from U+00C0 on but for U+2000 to U+2FFF, which are signs, and U+10000 on.
+_LETTERS[65:91] = _LETTERS[97:123] = _LETTERS[0xC3:0xE2] = _LETTERS[0xE3:0xF0] = True
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -49,6 +55,16 @@ def docs_needed(fixed: np.ndarray, min_docs: int) -> np.ndarray:
     return np.minimum(np.maximum(2, by_length), min_docs).astype(np.uint32)
 
 
+def _holds(words: Words, wanted: np.ndarray) -> np.ndarray:
+    """Whether each word has a wanted byte."""
+    before = np.concatenate([np.zeros(1, np.int32), np.cumsum(wanted, dtype=np.int32)])
+    return before[words.first + words.length] > before[words.first]
+
+
+def _says_enough(fixed: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return (fixed >= FIXED_WORDS) & (2 * fixed >= count)
+
+
 def templates(texts: list[bytes], min_tokens: int = MIN_TOKENS) -> tuple[np.ndarray, ...]:
     """(template keys, the line of each, its fixed tokens, the text of each line, each line's number within its text).
 
@@ -63,12 +79,12 @@ def templates(texts: list[bytes], min_tokens: int = MIN_TOKENS) -> tuple[np.ndar
     text_of = np.searchsorted(begins, ends, side="right") - 1
     number = np.arange(len(ends)) - np.searchsorted(text_of, text_of)
     line = np.searchsorted(ends, words.first)
-    digits = np.concatenate([np.zeros(1, np.int32), np.cumsum((data >= 48) & (data <= 57), dtype=np.int32)])
-    varies = digits[words.first + words.length] > digits[words.first]
+    varies = _holds(words, (data >= 48) & (data <= 57))
     count = np.bincount(line, minlength=len(ends))
     place = np.arange(len(line)) - np.searchsorted(line, line)
     mine = count[line]
-    block = np.where(place < DEPTH, 0, 1 + (place - DEPTH) * FIELDS // np.maximum(1, mine - DEPTH))
+    blocks = np.maximum(FIELDS, -(-(mine - DEPTH) // FIELD_TOKENS))
+    block = np.where(place < DEPTH, 0, 1 + (place - DEPTH) * blocks // np.maximum(1, mine - DEPTH))
     step = np.uint64(0x9E3779B97F4A7C15) * place.astype(np.uint64)
     # Sums of token hashes per line and block wrap around, as hashes may.
     change = np.concatenate([[True], line[1:] != line[:-1]])[: len(line)]
@@ -83,15 +99,18 @@ def templates(texts: list[bytes], min_tokens: int = MIN_TOKENS) -> tuple[np.ndar
 
     plain = mix(words.hashes + step)
     part = np.where(varies, mix(_VARIABLE + step), plain)
-    fixed = (~varies).astype(np.int64)
+    says = _holds(words, _LETTERS[data])
+    fixed = (says & ~varies).astype(np.int64)
     exact, whole, whole_fixed = per_line(plain), per_line(part), per_line(fixed)
     size = mix(count.astype(np.uint64))
     # The line itself; the line with its digits variable; and that but for one block.
-    some = np.flatnonzero(count >= max(1, min_tokens))
-    numbered = np.flatnonzero((whole_fixed < count) & (count >= max(min_tokens, FIELDS_FROM)))
-    of, number_of = line[runs], block[runs]
+    some = np.flatnonzero((count >= max(1, min_tokens)) & ((per_line(says.astype(np.int64)) > 0) | (count >= VARIABLE_FROM)))
+    numbered = per_line(varies.astype(np.int64)) > 0
+    numbered = np.flatnonzero(numbered & _says_enough(whole_fixed, count) & (count >= max(min_tokens, FIELDS_FROM)))
+    of, number_of, of_fixed = line[runs], block[runs], np.add.reduceat(fixed, runs)
     free = (number_of > 0) & (count[of] >= max(min_tokens, VARIABLE_FROM))
-    sums, run_fixed = np.add.reduceat(part, runs)[free], np.add.reduceat(fixed, runs)[free]
+    free &= _says_enough(whole_fixed[of] - of_fixed, count[of])
+    sums, run_fixed = np.add.reduceat(part, runs)[free], of_fixed[free]
     of, number_of = of[free], number_of[free].astype(np.uint64)
     keys = [exact[some] + size[some], whole[numbered] + size[numbered], whole[of] - sums + size[of] + number_of]
     held = [count[some], whole_fixed[numbered], whole_fixed[of] - run_fixed]
