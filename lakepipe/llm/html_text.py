@@ -2,7 +2,10 @@
 
 Markup is stripped into one line per block element. Lines inside elements that are never the article
 (scripts, styles, menus, page headers and footers, sidebars, forms, adverts, notices, reader comments)
-and lines outside the article that consist mostly of links count as blank. The text lengths of ``WINDOW``
+and lines outside the article that consist mostly of links count as blank. Class, id and role values say so
+as whole tokens: a hint, or hints joined with words of layout only (``cookie-notice``, ``left-sidebar``, but
+not ``has-sidebar``); a content hint beside them wins. Skipping by hint, or of a form, is undone for an element
+that holds most of the page's text, comments excepted, and for all if nothing else is left. The text lengths of ``WINDOW``
 neighbouring lines are summed. Where a sum rises from zero to the threshold there is a surge, where it
 falls back to zero a dive, and the lines between them are kept. A page on which no sum reaches the
 threshold keeps the stretches with its highest sum.
@@ -27,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 WINDOW, SURGE = 3, 86  # lines; characters
+NESTED = 20  # skipped elements that are reopened one by one; hints say nothing on a page with more
 
 # Element names and the words of class, id and role attributes by their meaning.
 RAW = "script style noscript template svg math iframe object textarea select head title".split()
@@ -46,6 +50,12 @@ HINTS = set(
     "complementary hidden".split()
 )
 HEADER_HINTS, CONTENT_HINTS = {"header", "topbar"}, set("article entry post content story".split())
+COMMENT_HINTS = set("comment comments disqus reply replies respond".split())
+LAYOUT = set(
+    "main site page global top bottom left right center primary secondary first second container wrapper wrap inner outer "
+    "box block area section region column col row bar list item items link links icon icons button buttons unit slot text "
+    "title body form group panel posts articles stories news media user desktop mobile".split()
+)
 
 _RAW = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -53,31 +63,50 @@ _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
-def _is_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
+def _parts(token: str) -> set[str]:
+    return set(re.split(r"[^a-z]+", token)) - {""}
+
+
+def _hints(attributes: str) -> set[str]:
+    """The hints of the class, id and role tokens that consist of hints and layout words; none beside a content token."""
+    hints = set()
+    for groups in _NAMED.findall(attributes):
+        for token in "".join(groups).lower().split():
+            parts = _parts(token)
+            if parts & CONTENT_HINTS and parts <= CONTENT_HINTS | LAYOUT:
+                return set()
+            if parts <= HINTS | HEADER_HINTS | CONTENT_HINTS | LAYOUT:
+                hints |= parts & (HINTS | HEADER_HINTS)
+    return hints
+
+
+def _kind(name: str, attributes: str, inside_article: bool) -> str:
+    """Why an element is skipped: "named" by its name, "hinted" for comments, "doubtful" otherwise, or ""."""
     if name in BOILERPLATE:
-        return not (name in ("header", "figcaption") and inside_article)
+        kept = name in ("header", "figcaption") and inside_article
+        return "" if kept else "doubtful" if name == "form" else "named"
     if not attributes or name in ("html", "body") or name in ARTICLE:
-        return False
-    words = set()
-    for groups in _NAMED.findall(attributes):
-        words.update(re.split(r"[^a-z]+", "".join(groups).lower()))
-    if words & HINTS or words & HEADER_HINTS and not words & CONTENT_HINTS:
-        return True
-    return bool(_HIDDEN.search(attributes))
+        return ""
+    hints = _hints(attributes)
+    if hints:
+        return "hinted" if hints & COMMENT_HINTS else "doubtful"
+    return "doubtful" if _HIDDEN.search(attributes) else ""
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """The page's lines as (text, number of the outermost article or 0, blank for the distribution)."""
-    page = _RAW.sub("", page)
+def _parse(page: str, skips: bool, reopened: set[int]) -> tuple[list[tuple[str, int, bool]], dict[int, int]]:
+    """The lines, and the characters in each element that is skipped but might be the text, by the place of its tag."""
     lines: list[tuple[str, int, bool]] = []
+    held: dict[int, int] = {}
     parts: list[str] = []
     linked, depth, article, articles, link = 0, 0, 0, 0, 0
-    skipped = ""  # the element being skipped
+    skipped, doubtful = "", -1  # the element being skipped, and its place if it might be the text
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
+            if skipped and doubtful >= 0:
+                held[doubtful] = held.get(doubtful, 0) + len(text)
             lines.append((text, articles if article else 0, bool(skipped) or (not article and 2 * linked >= len(text))))
         parts.clear()
         linked = 0
@@ -99,6 +128,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if skipped:
             if name in ARTICLE and not closing and not article:
                 skipped = ""
+                held.pop(doubtful, None)
             elif skipped in ENDS_IMPLIED and name in BLOCKS and not (closing and name != skipped):
                 skipped = ""
             elif name == skipped:
@@ -113,11 +143,31 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if name in ARTICLE:
             articles += not closing and not article
             article = max(0, article + (-1 if closing else 1))
-        elif not closing and name not in VOID and not attributes.endswith("/") and _is_boilerplate(name, attributes, article > 0):
-            flush()
-            skipped, depth = name, 1
+        elif not closing and name not in VOID and not attributes.endswith("/") and tag.start() not in reopened:
+            kind = _kind(name, attributes, article > 0)
+            if kind == "named" or kind and skips:
+                flush()
+                skipped, depth, doubtful = name, 1, tag.start() if kind == "doubtful" else -1
     parts.append(page[at:])
     flush()
+    return lines, held
+
+
+def lines_of(page: str) -> list[tuple[str, int, bool]]:
+    """The page's lines as (text, number of the outermost article or 0, blank for the distribution)."""
+    page = _RAW.sub("", page)
+    reopened: set[int] = set()
+    while True:
+        lines, held = _parse(page, True, reopened)
+        total = sum(len(text) for text, _, _ in lines)
+        most = max(held, key=held.__getitem__, default=None)
+        if most is None or 2 * held[most] <= total:
+            break
+        reopened.add(most)
+        if len(reopened) > NESTED:
+            break
+    if lines and (len(reopened) > NESTED or all(blank for _, _, blank in lines)):
+        lines, _ = _parse(page, False, reopened)
     return lines
 
 
