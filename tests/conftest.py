@@ -9,8 +9,6 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 from lakepipe.session import local_session  # noqa: E402
 from lakepipe.schemas import raw_schema  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

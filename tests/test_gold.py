@@ -8,7 +8,7 @@ from lakepipe.functions import money
 from lakepipe.functions.columns import CART_EVENTS_STRICT
 from lakepipe.operators import cleaning, gold, reports
 from lakepipe.registry import _silver
-from conftest import SMALL
+from oracle import SMALL
 from test_cleaning import row
 
 

@@ -7,7 +7,7 @@ from lakepipe.plans.layers import StepLog, published, run_layers
 from lakepipe.plans.verify import layer_checks
 from lakepipe.sources.adapted import raw_events
 from lakepipe.sources.versions import Store
-from conftest import SMALL
+from oracle import SMALL
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
-from conftest import SMALL
+from oracle import SMALL
 
 from lakepipe import oracles, registry
 
