@@ -42,9 +42,33 @@ SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, compo
 FROM components"""
 
 
+def ranked_search(k: int = 10) -> str:
+    folded = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    terms = f"regexp_extract_all({folded}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH split AS (SELECT doc_id, {terms} AS w FROM documents),
+sizes AS (SELECT doc_id, len(w) AS n FROM split WHERE len(w) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM split) t GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term) f, total),
+asked AS (SELECT DISTINCT item_id, unnest({terms}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (doc_id), total
+  GROUP BY item_id, doc_id),
+placed AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM placed WHERE rank <= {k}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard_join": jaccard_join(),
         "op7_near_vectors": near_vectors(),
         "op8_licence_rules": licenses.oracle_sql(),
+        "op13_ranked_search": ranked_search(),
     }

@@ -17,7 +17,10 @@ from lakepipe.llm import (
     oracles,
     packing,
     quality_model,
+    ranked_search,
+    token_counts,
     vector_join,
+    whitening,
 )
 from lakepipe.session import importable_by_workers, written_once
 
@@ -126,5 +129,20 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4)
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 def oracle_sql() -> dict[str, str]:
     return oracles.oracle_sql()

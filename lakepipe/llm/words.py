@@ -53,9 +53,12 @@ def buffer_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.concatenate([[0], ends]).astype(np.int64)
 
 
-def words_of(data: np.ndarray, begins: np.ndarray, lower: bool = True) -> Words:
-    """The words of a buffer made by ``buffer_of``; ``lower`` folds A-Z."""
-    gap = _BREAKS[data]
+def words_of(data: np.ndarray, begins: np.ndarray, lower: bool = True, breaks: np.ndarray = _BREAKS) -> Words:
+    """The words of a buffer made by ``buffer_of``; ``lower`` folds A-Z.
+
+    ``breaks`` says of each byte whether it separates words; a space must, bytes from 128 on must not.
+    """
+    gap = breaks[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     if len(data) and not gap[0]:
         edge = np.concatenate([[0], edge])

@@ -19,6 +19,6 @@ def test_equals_sql(spark, name):
 
 def test_one_query_per_operator():
     named = [re.match(r"op(\d+)_", n) for n in queries.queries()]
-    assert sorted(int(m[1]) for m in named) == list(range(1, 11))
+    assert sorted(int(m[1]) for m in named) == list(range(1, 14))
     assert set(queries.queries()) | {"pipeline"} <= set(entry.queries())
     assert set(queries.oracle_sql()) <= set(entry.oracle_sql())
