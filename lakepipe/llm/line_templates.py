@@ -9,22 +9,25 @@ fields must have ``FIXED_WORDS`` of them or more, and they must be half of the l
 enough text of its own never recurs. Because a line's templates depend on the line alone, the tree needs no order of arrival: tasks count
 templates by key, merge tasks add the counts, and no leaf is ever gathered in one place.
 
-Every line also is a template of its own, in which digits vary no more than other tokens do; lines of fewer
-than ``FIELDS_FROM`` tokens are only that, and lines without a letter need ``VARIABLE_FROM`` tokens for it. Blocks vary in lines of ``VARIABLE_FROM`` tokens or more. Lines of
-fewer than ``min_tokens`` tokens have no template.
+Every line also is a template of its own, in which digits vary no more than other tokens do. A line of fewer
+than ``min_tokens`` tokens says too little by itself: the larger a corpus, the more documents hold such a line
+by chance or by custom ("Thank you.", "else:"), so no number of documents makes it recur alone. It goes only
+as part of a run: ``RUN`` lines that follow each other (lines without words aside) and have ``min_tokens``
+tokens together are one template, as they are.
 
 The longer the text that documents share, the less it takes chance to explain it: a template recurs if the
 documents with lines that match it, times the tokens it fixes, make ``REPEATED_TOKENS``. Two documents are
-the least (from 50 fixed tokens on) and ``min_docs`` are enough for any template. Its lines stay in the
-document with the smallest id that has them and are dropped from all others. A document that had words and
-has none left is dropped.
+the least (from 50 fixed tokens on) and ``min_docs`` are enough for any template. None of these numbers changes
+with the table. Its lines stay in the document with the smallest id that has them and are dropped from all
+others. A document that had words and has none left is dropped.
 
 Recurring templates are kept as sorted arrays in the shared folder (see ``store``), which the tasks that
 clean the texts map into memory.
 
 Defined results: a null text stays null; an empty text and lines without words stay as they are; a
 document without an id never is a template's first one; rows that share an id count as one row each, and
-all of them keep their lines if the id is the smallest. Other columns are kept.
+all of them keep their lines if the id is the smallest. Other columns are kept, but for those named
+``n_lines`` and ``dropped_lines``, which the result has itself. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -38,8 +41,8 @@ from pyspark.sql import DataFrame, functions as F
 from lakepipe.llm import store
 from lakepipe.llm.words import Words, buffer_of, mix, words_of
 
-DEPTH, FIELDS, FIELDS_FROM, VARIABLE_FROM = 2, 3, 4, 8
-MIN_DOCS, MIN_TOKENS = 10, 1
+DEPTH, FIELDS, VARIABLE_FROM = 2, 3, 8
+MIN_DOCS, MIN_TOKENS, RUN = 10, 10, 3
 REPEATED_TOKENS = 100
 FIELD_TOKENS, FIXED_WORDS = 8, 2
 _VARIABLE = np.uint64(0x3A3A3A3A3A3A3A3B)
@@ -106,15 +109,36 @@ def templates(texts: list[bytes], min_tokens: int = MIN_TOKENS) -> tuple[np.ndar
     # The line itself; the line with its digits variable; and that but for one block.
     some = np.flatnonzero((count >= max(1, min_tokens)) & ((per_line(says.astype(np.int64)) > 0) | (count >= VARIABLE_FROM)))
     numbered = per_line(varies.astype(np.int64)) > 0
-    numbered = np.flatnonzero(numbered & _says_enough(whole_fixed, count) & (count >= max(min_tokens, FIELDS_FROM)))
+    numbered = np.flatnonzero(numbered & _says_enough(whole_fixed, count) & (count >= min_tokens))
     of, number_of, of_fixed = line[runs], block[runs], np.add.reduceat(fixed, runs)
     free = (number_of > 0) & (count[of] >= max(min_tokens, VARIABLE_FROM))
     free &= _says_enough(whole_fixed[of] - of_fixed, count[of])
     sums, run_fixed = np.add.reduceat(part, runs)[free], of_fixed[free]
     of, number_of = of[free], number_of[free].astype(np.uint64)
-    keys = [exact[some] + size[some], whole[numbered] + size[numbered], whole[of] - sums + size[of] + number_of]
-    held = [count[some], whole_fixed[numbered], whole_fixed[of] - run_fixed]
-    return mix(np.concatenate(keys)), np.concatenate([some, numbered, of]), np.concatenate(held), text_of, number
+    run_key, run_line, run_count = _line_runs(exact + size, count, with_tokens, text_of, min_tokens)
+    keys = [exact[some] + size[some], whole[numbered] + size[numbered], whole[of] - sums + size[of] + number_of, run_key]
+    held = [count[some], whole_fixed[numbered], whole_fixed[of] - run_fixed, run_count]
+    lines = [some, numbered, of, run_line]
+    return mix(np.concatenate(keys)), np.concatenate(lines), np.concatenate(held), text_of, number
+
+
+def _line_runs(
+    own: np.ndarray, count: np.ndarray, with_tokens: np.ndarray, text_of: np.ndarray, min_tokens: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, line, tokens) of every run with a line too short to be a template, once for each of its lines."""
+    first = np.arange(max(0, len(with_tokens) - RUN + 1))
+    members = with_tokens[first[:, None] + np.arange(RUN)] if len(first) else np.zeros((0, RUN), np.int64)
+    together = count[members].sum(1)
+    members = members[
+        (text_of[members[:, 0]] == text_of[members[:, -1]])
+        & (count[members].min(1, initial=min_tokens) < min_tokens)
+        & (together >= max(1, min_tokens))
+    ]
+    together = count[members].sum(1)
+    key = np.full(len(members), _VARIABLE, np.uint64)
+    for k in range(RUN):
+        key = mix(key + own[members[:, k]])
+    return np.repeat(key, RUN), members.reshape(-1), np.repeat(together, RUN)
 
 
 def _count(docs: DataFrame, folder: str, bits: int, min_docs: int, min_tokens: int) -> None:
