@@ -36,6 +36,11 @@ AT_ONCE = 4_000  # strings the library encodes in one call; its results take muc
 BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 
 
+def newer_than_python(text: str) -> bool:
+    """Whether the text has characters that this Python's tables do not know."""
+    return not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(BEYOND_LATIN.findall(text)))
+
+
 def one_thread() -> None:
     """The library's own threads only get in each other's way beside Spark's tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

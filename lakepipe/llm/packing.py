@@ -10,12 +10,13 @@ over all rows in one place. Equal documents have equal keys; ids and row numbers
 of copies of any size is spread over ranges.
 
 Defined results: a null text is empty and has the closing id only; rows that share an id, or have none,
-are packed each by itself. Other columns are ignored.
+are packed each by itself; texts of any length are encoded whole. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from lakepipe.llm import store
-from lakepipe.llm.bpe import byte_names, one_thread
+from lakepipe.llm.bpe import byte_names, newer_than_python, one_thread
 from lakepipe.llm.words import mix
 from lakepipe.session import written_once
 
@@ -35,14 +36,16 @@ DIMENSIONS, BITS = 4, 15
 
 #: Fixed value: how byte-level tokenizers of this family split text before merging.
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_LONG_SPACE = re.compile(r"\s{20000}")
 
 
 class ByteBpe:
     """The ids of a byte-level tokenizer file.
 
-    The tokenizers library reads the file; texts that hold the string of a special token go to it. All
-    others go to a quicker encoder over the same vocabulary, which gives the same ids as long as the
-    file's merges are in the order of their ids.
+    The tokenizers library reads the file. Texts go to it that hold the string of a special token, characters
+    newer than this Python (the two libraries' tables may differ there) or a run of white space so long that
+    the quicker encoder's pattern fails on it. All others go to that encoder over the same vocabulary, which
+    gives the same ids as long as the file's merges are in the order of their ids.
     """
 
     def __init__(self, path: str):
@@ -61,9 +64,10 @@ class ByteBpe:
         self._quick = tiktoken.Encoding("texts", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: bytes) -> np.ndarray:
-        if any(s in text for s in self._special):
-            return np.array(self._tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
-        return self._quick.encode_to_numpy(text.decode(), disallowed_special=()).astype("<u4", copy=False)
+        plain = text.decode()
+        if any(s in text for s in self._special) or _LONG_SPACE.search(plain) or newer_than_python(plain):
+            return np.array(self._tokenizer.encode(plain, add_special_tokens=False).ids, "<u4")
+        return self._quick.encode_to_numpy(plain, disallowed_special=()).astype("<u4", copy=False)
 
 
 @lru_cache(maxsize=1)

@@ -19,7 +19,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from lakepipe.llm import store
-from lakepipe.llm.bpe import byte_names
+from lakepipe.llm.bpe import byte_names, newer_than_python
 
 MOST_KNOWN = 400_000  # pre-tokens a worker remembers before it starts afresh, some 150 bytes each
 LONG = 400  # symbols from which a sequence keeps its places by rank
@@ -41,7 +40,6 @@ _SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 _SPLIT_ASCII = re.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"""
 ).findall
-_BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 
 
 class PairRanks:
@@ -208,8 +206,7 @@ class TokenCounter:
     def pre_tokens(self, text: str) -> list[str]:
         if text.isascii():
             return _SPLIT_ASCII(text)
-        beyond = set(_BEYOND_LATIN.findall(text))
-        if any(unicodedata.category(c) == "Cn" for c in beyond):  # newer than this Python: tables may differ
+        if newer_than_python(text):  # the tables of two libraries may differ there
             return [text[begin:end] for _, (begin, end) in self._library.pre_tokenize_str(text)]
         return _SPLIT(text)
 

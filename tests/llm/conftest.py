@@ -15,6 +15,8 @@ TEXTS = [
     "x" * 200_000,
     "line one of it\n" * 400,
     "***!! | ### $$$",
+    " " * 1_000_000,
+    "some words" + " \n\t" * 300_000 + "and the last",
 ]
 
 
