@@ -19,7 +19,6 @@ RULES = (
     ("no_type", "event_type IS NOT NULL"),
 )
 DUPLICATE = "duplicate"
-MOST_BROADCAST_KEYS = 500_000  # some 100 bytes each
 
 
 def _rules(frame: DataFrame) -> tuple[tuple[str, str], ...]:
@@ -59,13 +58,17 @@ def survivor_order(columns: Sequence[str], cart_events: Sequence[str] = CART_EVE
     return ranked + [F.col(c).asc_nulls_last() for c in sorted(set(columns) - named)]
 
 
-def one_per_event(frame: DataFrame, cart_events: Sequence[str] = CART_EVENTS) -> DataFrame:
+def one_per_event(
+    frame: DataFrame, cart_events: Sequence[str] = CART_EVENTS, last: Sequence[str] = ()
+) -> DataFrame:
     """One row per event key; keys compare NULL equal to NULL.
 
+    Of rows equal in all other columns the one with the largest values of the columns ``last`` stays.
     Spark cuts each task's rows to one per key before the exchange (WindowGroupLimit), so a key
     that holds a third of all rows sends one row per task, not the group.
     """
-    by_key = Window.partitionBy(*EVENT_KEY).orderBy(*survivor_order(frame.columns, cart_events))
+    order = survivor_order([c for c in frame.columns if c not in last], cart_events)
+    by_key = Window.partitionBy(*EVENT_KEY).orderBy(*order, *[F.col(c).desc() for c in last])
     return frame.withColumn("_rank", F.row_number().over(by_key)).where("_rank = 1").drop("_rank")
 
 
@@ -87,35 +90,31 @@ def clean(bronze: DataFrame, cart_events: Sequence[str] = CART_EVENTS) -> DataFr
 def rejected(bronze: DataFrame, cart_events: Sequence[str] = CART_EVENTS) -> DataFrame:
     """Every row ``clean`` leaves out, with its reason.
 
-    Most rows have no duplicate. The keys are counted first, with partial sums, and only rows of
-    keys that occur twice or more are ranked. The repeated keys are broadcast if they are few, as
-    measured once they are written; else they are joined by a shuffle.
+    The rows are written once, with their reason and the number of the input split they were read in. Most rows have no
+    duplicate: the keys are counted with partial sums, and only rows of keys that occur twice or more are ranked. Spark
+    broadcasts the repeated keys if they are few and else exchanges both sides, where adaptive execution splits the
+    partition of a hot key; nothing after the join depends on where it put a row.
 
-    The duplicates of one key can be a third of the table, and all of them are wanted. They are ranked
-    in two steps: first within (key, input split), where a group is never larger than a split, then the
-    one leader of each such group against the other leaders of its key. A row that is no leader is out
-    already and stays in its own group in step two.
+    The duplicates of one key can be a third of the table, and all of them are wanted. They are ranked in two steps:
+    first within (key, input split), where a group is never larger than a split, then the one leader of each such group
+    against the other leaders of its key. A row that is no leader is out already and stays in its own group in step two.
     """
     frame = bronze.drop("ingestion_ts")
-    frame = frame.withColumn("reason", broken_rule(frame))
-    invalid = frame.where("reason IS NOT NULL")
-    valid = frame.where("reason IS NULL")
-    counted = valid.groupBy(*EVENT_KEY).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").drop("_rows")
-    repeated = written_once(counted, "repeated-keys")
-    if repeated.count() <= MOST_BROADCAST_KEYS:
-        repeated = F.broadcast(repeated)
+    names = frame.columns
+    marked = written_once(frame.withColumns({"reason": broken_rule(frame), "_split": F.spark_partition_id()}), "reasons")
+    valid = marked.where("reason IS NULL")
+    repeated = valid.groupBy(*EVENT_KEY).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").drop("_rows")
     same = [F.col(f"own.{k}").eqNullSafe(F.col(f"key.{k}")) for k in EVENT_KEY]
     rows = valid.alias("own").join(repeated.alias("key"), all_of(same), "left_semi")
-    order = survivor_order([c for c in frame.columns if c not in ("reason", UNREADABLE)], cart_events)
+    order = survivor_order([c for c in names if c != UNREADABLE], cart_events)
     local = Window.partitionBy(*EVENT_KEY, "_split").orderBy(*order)
     leaders = Window.partitionBy(*EVENT_KEY, "_group").orderBy(*order)
     duplicates = (
-        rows.withColumn("_split", F.spark_partition_id())
-        .withColumn("_local", F.row_number().over(local))
+        rows.withColumn("_local", F.row_number().over(local))
         .withColumn("_group", F.when(F.col("_local") > 1, F.col("_split")))
         .withColumn("_final", F.row_number().over(leaders))
         .where("_local > 1 OR _final > 1")
         .withColumn("reason", F.lit(DUPLICATE))
-        .select(*frame.columns)
+        .select(*names, "reason")
     )
-    return invalid.unionByName(duplicates)
+    return marked.where("reason IS NOT NULL").select(*names, "reason").unionByName(duplicates)

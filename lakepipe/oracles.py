@@ -224,7 +224,31 @@ def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select}"
 
 
+def _profile() -> str:
+    """Rows and NULLs of every column of bronze and silver, the partition column and the audit column included."""
+    day = "CAST(event_time AS DATE)"
+    layers = {
+        "bronze.events": ("raw", {c: c for c in _RAW_COLUMNS} | {"ingestion_ts": "0", "event_date": day}),
+        "silver.events": ("silver", {c: c for c in (*_RAW_COLUMNS, "event_hour", "price_category", "event_date")}),
+    }
+    return "\nUNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{name}' AS column_name, count(*) AS rows, "
+        f"{_count_if(f'{value} IS NULL')} AS nulls FROM {table}"
+        for layer, (table, columns) in layers.items()
+        for name, value in columns.items()
+    )
+
+
+#: Reports that exist as functions and as SQL over registered tables; both give the same rows.
+_ALSO_SQL = ("event_type_distribution", "top_revenue_days", "purchase_funnel", "prediction_summary", "layer_counts")
+
+
 def oracle_sql() -> dict[str, str]:
+    named = _named()
+    return named | {f"{name}_sql": named[name] for name in _ALSO_SQL}
+
+
+def _named() -> dict[str, str]:
     raw = _with(_RAW, "SELECT * FROM raw")
     contract = ", ".join(f"('{c}')" for c in _RAW_COLUMNS)
     nulls = ", ".join(f"{_count_if(f'{c} IS NULL')} AS {c}" for c in _RAW_COLUMNS)
@@ -256,6 +280,37 @@ FROM events""",
             """SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS rows_logged, count(*) AS rows_read,
   TRUE AS files_kept FROM raw WHERE product_id % 3 <> 0 OR product_id IS NULL
 UNION ALL SELECT 1, 'APPEND', count(*), count(*), TRUE FROM raw""",
+        ),
+        "rerun_day": _with(
+            _SILVER,
+            """SELECT event_date, count(*) AS rows, event_date = DATE '2024-01-10' AS rewritten FROM silver
+WHERE event_date <> DATE '2024-01-10' OR event_type <> 'view' GROUP BY event_date""",
+        ),
+        "publish_profile": _with(_SILVER, _profile()),
+        "incremental_clean": _with(_SILVER, "SELECT * FROM silver"),
+        "incremental_changes": _with(
+            f"""{_SILVER},
+keys AS (
+  SELECT user_session, event_time, product_id, bool_or(event_type = 'purchase') AS bought,
+    bool_or(event_type <> 'purchase') AS other
+  FROM valid GROUP BY ALL)""",
+            """SELECT 'others' AS batch, 'added' AS change, count(*) AS rows FROM keys WHERE other
+UNION ALL SELECT 'purchases', 'added', count(*) FROM keys WHERE bought AND NOT other
+UNION ALL SELECT 'purchases', 'replaced', count(*) FROM keys WHERE bought AND other
+UNION ALL SELECT 'sent_again', 'kept', count(*) FROM keys WHERE product_id % 3 = 0""",
+        ),
+        "user_features_bucketed": _with(_USERS, "SELECT * FROM users"),
+        "weekly_buyers": _with(
+            _SILVER,
+            """SELECT CAST(date_trunc('week', event_date) AS DATE) AS week, count(*) AS purchases,
+  count(DISTINCT user_id) AS buyers, TRUE AS within_bound FROM silver WHERE event_type = 'purchase' GROUP BY 1""",
+        ),
+        "trailing_buyers": _with(
+            f"""{_SILVER},
+bought AS (SELECT event_date, user_id FROM silver WHERE event_type = 'purchase'),
+days AS (SELECT DISTINCT event_date AS until FROM bought)""",
+            """SELECT until, count(*) AS purchases, count(DISTINCT user_id) AS buyers, TRUE AS within_bound
+FROM days JOIN bought ON event_date BETWEEN until - 6 AND until GROUP BY until""",
         ),
         "ingest_unreadable": _with(
             _SILVER.replace("FROM raw WHERE", f"FROM raw WHERE NOT {_DAMAGED} AND"),
@@ -352,6 +407,19 @@ FROM labelled""",
             "SELECT is_train, count(*) AS users, CAST(sum(label) AS BIGINT) AS buyers FROM parts GROUP BY is_train",
         ),
         "metric_auc": _with(_PRICE_RULE, f"SELECT {_auc('price_rule')} AS auc"),
+        "metric_auc_bounds": _with(
+            f"""{_PRICE_RULE},
+bins AS (
+  SELECT CASE WHEN score < 0 THEN -1 WHEN score >= 1 THEN 1000 ELSE CAST(floor(score * 1000) AS BIGINT) END AS bin,
+    count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+  FROM price_rule GROUP BY 1),
+summed AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lower FROM bins),
+sums AS (
+  SELECT CAST(sum(pos * lower) AS DOUBLE) AS sure, CAST(sum(pos * neg) AS DOUBLE) AS within, count(*) AS bins_used,
+    CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE) AS pairs FROM summed)""",
+            f"""SELECT (sure + within / 2) / pairs AS auc, within / 2 / pairs AS error_bound, bins_used,
+  {_auc('price_rule')} BETWEEN sure / pairs AND (sure + within) / pairs AS exact_inside FROM sums""",
+        ),
         "metric_f1_weighted": _with(_PRICE_RULE, f"SELECT {_f1('price_rule')} AS f1_score"),
         "metric_accuracy": _with(_PRICE_RULE, f"SELECT {_accuracy('price_rule')} AS accuracy"),
         "model_comparison": _with(_RULE_METRICS, "SELECT * FROM measured"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,11 +14,12 @@ from lakepipe.functions.columns import CART_EVENTS_STRICT, price_band, verdict
 from lakepipe.ml import features, metrics, runs, split
 from lakepipe.ml.scoring import as_predictions, score_users
 from lakepipe.ml.training import apply, train_all, train_and_log
-from lakepipe.operators import cleaning, gold, quality, reports
+from lakepipe.operators import cleaning, gold, incremental, quality, reports, sketches
 from lakepipe.operators.zorder import zorder
+from lakepipe.plans import report_sql
 from lakepipe.plans.verify import layer_checks
 from lakepipe.session import scratch_dir, written_once
-from lakepipe.sources import tables
+from lakepipe.sources import catalog, tables
 from lakepipe.sources.adapted import raw_events
 from lakepipe.sources.feed import read_csv_events, stamp_ingestion
 from lakepipe.sources.versions import Store
@@ -128,57 +130,120 @@ def bronze_audit(spark, sf_dir):
 
 @query
 def schema_check(spark, sf_dir):
-    """Three batches offered to the published table; a batch that breaks the contract adds no row."""
+    """Three batches offered to a published table; a batch that breaks the contract adds no row."""
     raw = raw_events(spark, sf_dir)
     batches = {
         "as_declared": raw,
         "price_as_text": raw.withColumn("price", F.col("price").cast("string")),
         "other_table": spark.read.parquet(f"{sf_dir}/events.parquet"),
     }
-    rows = []
+    table = f"{catalog.scratch_schema(spark, 'append')}.events"
+    catalog.create(spark, table, f"{schemas.CONTRACT_DDL[schemas.BRONZE]}, {catalog.DAY} date")
+    rows, before = [], 0
     for name, batch in batches.items():
-        store = _store(spark, "append")
-        store.publish(stamp_ingestion(raw.where("false")), schemas.BRONZE)
-        tables.append_outcome(store.append, stamp_ingestion(batch), schemas.BRONZE)
+        whole = catalog.with_day(batch) if "event_time" in batch.columns else batch
+        tables.append_outcome(catalog.append, stamp_ingestion(whole), table)
         problems = quality.schema_problems(batch.schema, schemas.raw_schema())
         listed = ",".join(f"{column}:{problem}" for column, problem, _, _ in problems)
-        kept = store.read(schemas.BRONZE)
-        counted = reports.row_counts({"offered": batch, "accepted": kept})
+        now = spark.table(table).count()
         rows.append(
-            counted.agg(
+            batch.agg(
                 F.lit(name).alias("batch"),
                 F.lit(listed).alias("problems"),
-                F.max(F.when(F.col("layer") == "offered", F.col("rows"))).alias("rows_offered"),
-                F.max(F.when(F.col("layer") == "accepted", F.col("rows"))).alias("rows_accepted"),
+                F.count(F.lit(1)).alias("rows_offered"),
+                F.lit(now - before).cast("bigint").alias("rows_accepted"),
             )
         )
+        before = now
     return reduce(DataFrame.unionByName, rows)
 
 
+def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.with_day(stamp_ingestion(raw_events(spark, sf_dir)))
+
+
 @query
 def publish_table(spark, sf_dir):
-    store = _store(spark, "publish")
-    store.publish(stamp_ingestion(raw_events(spark, sf_dir)), schemas.BRONZE)
-    return _wall_clock(store.read(schemas.BRONZE).drop("ingestion_ts"))
+    table = f"{catalog.scratch_schema(spark, 'publish')}.events"
+    catalog.publish(_bronze(spark, sf_dir), table)
+    return _wall_clock(spark.table(table).drop("ingestion_ts", catalog.DAY))
 
 
 @query
 def append_published(spark, sf_dir):
-    """A day's feed appended to the published table: each version's rows, and whether older files are still its own."""
-    store = _store(spark, "days")
-    raw = stamp_ingestion(raw_events(spark, sf_dir))
+    """A feed appended to the published table: each version's rows, and whether older files are still its own."""
+    table = f"{catalog.scratch_schema(spark, 'days')}.events"
+    raw = _bronze(spark, sf_dir)
     later = F.coalesce(F.col("product_id") % 3 == 0, F.lit(False))
-    first = store.publish(raw.where(~later), schemas.BRONZE)
-    second = store.append(raw.where(later), schemas.BRONZE)
-    kept = set(first.inputFiles()) < set(second.inputFiles())
-    logged = store.history(schemas.BRONZE).select(
-        "version", "operation", F.col("operationMetrics")["numOutputRows"].cast("bigint").alias("rows_logged")
-    )
-    read = [
-        store.read(schemas.BRONZE, v).agg(F.lit(v).cast("bigint").alias("version"), F.count(F.lit(1)).alias("rows_read"))
-        for v in (0, 1)
+    written = catalog.publish(raw.where(~later), table)[catalog.ROWS]
+    read = spark.table(table).count()
+    files = written_once(catalog.files_by_day(spark, table), "files")
+    added = catalog.append(raw.where(later), table)[catalog.ROWS]
+    now = catalog.files_by_day(spark, table)
+    kept = files.join(now, "file", "left_anti").isEmpty() and now.count() > files.count()
+    rows = [(0, "WRITE", written, read, kept), (1, "APPEND", written + added, spark.table(table).count(), kept)]
+    return spark.createDataFrame(rows, "version long, operation string, rows_logged long, rows_read long, files_kept boolean")
+
+
+RERUN_DAY = "2024-01-10"
+
+
+@query
+def rerun_day(spark, sf_dir):
+    """One day of the clean table run again without its views: each day's rows, and whether its files are new."""
+    table = f"{catalog.scratch_schema(spark, 'rerun')}.events"
+    catalog.publish(catalog.day_last(_silver(spark, sf_dir)), table)
+    files = written_once(catalog.files_by_day(spark, table), "files")
+    again = catalog.day_last(_silver(spark, sf_dir)).where(F.col(catalog.DAY) == F.lit(RERUN_DAY).cast("date"))
+    catalog.replace_days(again.where("event_type <> 'view'"), table)
+    now = catalog.files_by_day(spark, table).join(files.withColumn("known", F.lit(True)), [catalog.DAY, "file"], "left")
+    new = now.groupBy(catalog.DAY).agg(F.bool_and(F.col("known").isNull()).alias("rewritten"))
+    rows = spark.table(table).groupBy(catalog.DAY).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(new, catalog.DAY)
+
+
+@query
+def publish_profile(spark, sf_dir):
+    """Rows and NULLs per column of two published tables, as their own writes counted them."""
+    schema = catalog.scratch_schema(spark, "profile")
+    bronze = catalog.publish(_bronze(spark, sf_dir), f"{schema}.bronze")
+    silver = catalog.publish(catalog.day_last(cleaning.clean(spark.table(f"{schema}.bronze").drop(catalog.DAY))), f"{schema}.silver")
+    rows = [
+        (name, column, profile[catalog.ROWS], nulls)
+        for name, profile in ((schemas.BRONZE, bronze), (schemas.SILVER, silver))
+        for column, nulls in catalog.null_counts(profile).items()
     ]
-    return logged.join(read[0].unionByName(read[1]), "version").withColumn("files_kept", F.lit(kept))
+    return spark.createDataFrame(rows, "layer string, column_name string, rows long, nulls long")
+
+
+BATCHES = ("others", "purchases", "sent_again")
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The feed in three deliveries: purchases come after the events they repeat, and some products' events twice."""
+    raw = raw_events(spark, sf_dir)
+    bought = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    return dict(zip(BATCHES, (raw.where(~bought), raw.where(bought), raw.where("product_id % 3 = 0")), strict=True))
+
+
+def _cleaned_in_batches(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    table = f"{catalog.scratch_schema(spark, 'batches')}.events"
+    catalog.create(spark, table, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in catalog.day_last(_silver(spark, sf_dir)).schema))
+    return table, {name: incremental.clean_into(batch, table) for name, batch in _batches(spark, sf_dir).items()}
+
+
+@query
+def incremental_clean(spark, sf_dir):
+    """The clean table after three batches; equal to cleaning all of them at once."""
+    table, _ = _cleaned_in_batches(spark, sf_dir)
+    return _wall_clock(spark.table(table))
+
+
+@query
+def incremental_changes(spark, sf_dir):
+    """What each batch added, replaced and left as it was."""
+    _, changed = _cleaned_in_batches(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [c.withColumn("batch", F.lit(name)) for name, c in changed.items()])
 
 
 @query
@@ -272,6 +337,84 @@ def user_features(spark, sf_dir):
     return _users(spark, sf_dir)
 
 
+BUCKETS = 16
+
+
+@query
+def user_features_bucketed(spark, sf_dir):
+    """From a clean table bucketed by user, without an exchange."""
+    table = f"{catalog.scratch_schema(spark, 'bucketed')}.events"
+    catalog.publish_bucketed(_silver(spark, sf_dir), table, "user_id", BUCKETS)
+    return gold.user_features(spark.table(table), by_user=True)
+
+
+def _day_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's buyers as published sketches, in two deliveries that share days and users."""
+    table = f"{catalog.scratch_schema(spark, 'sketches')}.buyers"
+    silver = written_once(_silver(spark, sf_dir), "silver")
+    late = F.coalesce(F.col("product_id") % 3 == 0, F.lit(False))
+    catalog.publish(catalog.day_last(sketches.daily_buyers(silver.where(~late))), table)
+    catalog.append(catalog.day_last(sketches.daily_buyers(silver.where(late))), table)
+    return spark.table(table)
+
+
+def _compared(estimated: DataFrame, exact: DataFrame, key: str) -> DataFrame:
+    """The exact numbers of buyers beside estimates, and whether these are within their bound."""
+    joined = estimated.join(exact, estimated[key].eqNullSafe(exact[key])).drop(exact[key])
+    near = ~sketches.off_by_more(F.col("estimate"), F.col("buyers_exact"))
+    return joined.select(key, "purchases", F.col("buyers_exact").alias("buyers"), near.alias("within_bound"))
+
+
+def _buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver(spark, sf_dir).where("event_type = 'purchase'").select("event_date", "user_id").distinct()
+
+
+@query
+def weekly_buyers(spark, sf_dir):
+    """Buyers per week from merged sketches, held against the exact count."""
+    week = F.date_trunc("week", "event_date").cast("date")
+    exact = _buyers(spark, sf_dir).groupBy(week.alias("week")).agg(F.count_distinct("user_id").alias("buyers_exact"))
+    return _compared(sketches.by_week(_day_sketches(spark, sf_dir)), exact, "week")
+
+
+@query
+def trailing_buyers(spark, sf_dir):
+    """Buyers of the seven days up to each day from merged sketches, held against the exact count."""
+    days = F.explode(F.sequence("event_date", F.date_add("event_date", 6))).alias("until")
+    exact = _buyers(spark, sf_dir).select("user_id", days).groupBy("until").agg(F.count_distinct("user_id").alias("buyers_exact"))
+    return _compared(sketches.trailing(_day_sketches(spark, sf_dir), 7), exact, "until")
+
+
+def _as_views(tables_of: dict[str, DataFrame]) -> dict[str, str]:
+    """Each frame registered under a name of its own, for SQL."""
+    names = {name: f"lakepipe_{uuid.uuid4().hex}" for name in tables_of}
+    for name, view in names.items():
+        tables_of[name].createOrReplaceTempView(view)
+    return names
+
+
+@query
+def event_type_distribution_sql(spark, sf_dir):
+    return report_sql.event_type_distribution(spark, _as_views({"silver": _silver(spark, sf_dir)})["silver"])
+
+
+@query
+def top_revenue_days_sql(spark, sf_dir):
+    return report_sql.top_revenue_days(spark, _as_views({"daily": gold.daily_revenue(_silver(spark, sf_dir))})["daily"])
+
+
+@query
+def purchase_funnel_sql(spark, sf_dir):
+    products = gold.product_performance(_silver(spark, sf_dir))
+    return report_sql.purchase_funnel(spark, _as_views({"products": products})["products"])
+
+
+@query
+def prediction_summary_sql(spark, sf_dir):
+    predictions = _rule_predictions(_labelled(spark, sf_dir))
+    return report_sql.prediction_summary(spark, _as_views({"predictions": predictions})["predictions"])
+
+
 @query
 def product_performance_strict(spark, sf_dir):
     return gold.product_performance(_silver(spark, sf_dir), CART_EVENTS_STRICT)
@@ -327,6 +470,11 @@ def layer_counts(spark, sf_dir):
     return reports.layer_counts(_layers(spark, sf_dir))
 
 
+@query
+def layer_counts_sql(spark, sf_dir):
+    return report_sql.layer_counts(spark, _as_views(_layers(spark, sf_dir)))
+
+
 @query
 def layer_verification(spark, sf_dir):
     return layer_checks(_layers(spark, sf_dir))
@@ -379,6 +527,16 @@ def metric_auc(spark, sf_dir):
     return metrics.roc_auc(written_once(_price_rule(_labelled(spark, sf_dir)), "scored"))
 
 
+@query
+def metric_auc_bounds(spark, sf_dir):
+    """The area from a histogram of the scores: its middle and bound, and whether the exact area lies within them."""
+    scored = written_once(_price_rule(_labelled(spark, sf_dir)), "scored")
+    exact = F.lit(metrics.roc_auc(scored).first()["auc"])
+    found = metrics.auc_bounds(scored, bins=1000)
+    inside = (F.col("lower") <= exact) & (exact <= F.col("upper"))
+    return found.select("auc", "error_bound", "bins_used", inside.alias("exact_inside"))
+
+
 @query
 def metric_f1_weighted(spark, sf_dir):
     return metrics.f1_weighted(_price_rule(_labelled(spark, sf_dir)))

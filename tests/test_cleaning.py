@@ -1,6 +1,10 @@
+import glob
+import os
 import random
+import re
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -115,17 +119,40 @@ def test_dedup_is_idempotent_and_keys_are_unique(raw, rows):
     assert Counter(map(tuple, cleaning.one_per_event(once).collect())) == Counter(map(tuple, once.collect()))
 
 
-def test_only_rows_of_repeated_keys_are_ranked(raw, monkeypatch):
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_only_rows_of_repeated_keys_are_ranked(raw, conf, broadcast):
+    conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
     rows = [row(product=i) for i in range(20)] + [row(product=3, kind="purchase"), row(product=3, kind="cart")]
-    frame = raw(rows)
-    by_broadcast = cleaning.rejected(frame)
-    plan = by_broadcast._jdf.queryExecution().optimizedPlan().toString()
+    gone = cleaning.rejected(raw(rows))
+    plan = gone._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan and plan.index("Window") < plan.index("LeftSemi")
-    assert "BroadcastHashJoin" in by_broadcast._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(cleaning, "MOST_BROADCAST_KEYS", 0)
-    by_shuffle = cleaning.rejected(frame)
-    found = [sorted((r["product_id"], r["event_type"], r["reason"]) for r in f.collect()) for f in (by_broadcast, by_shuffle)]
-    assert found[0] == found[1] == [(3, "cart", "duplicate"), (3, "view", "duplicate")]
+    found = sorted((r["product_id"], r["event_type"], r["reason"]) for r in gone.collect())
+    assert found == [(3, "cart", "duplicate"), (3, "view", "duplicate")]
+
+
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_duplicates_of_a_hot_key_are_ranked_per_input_split(spark, raw, conf, broadcast):
+    """A key with a third of all rows, by broadcast and by exchange: no group of step one exceeds an input split."""
+    conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    hot = [row(product=1, price=float(i + 1)) for i in range(1000)]
+    rows = hot + [row(product=2 + i // 2, price=float(i + 1)) for i in range(2000)]
+    frame = raw(rows).repartition(10).withColumn("place", F.monotonically_increasing_id())
+    gone = cleaning.rejected(frame)
+    plan = gone._jdf.queryExecution().optimizedPlan().toString()
+    local = re.search(r"Window \[row_number.*?_local.*?\], \[(.*?)\]", plan)
+    assert "_split" in local[1] and plan.rindex("_split") > plan.index("LeftSemi")  # taken before the join
+    kept = {r["price"] for r in cleaning.clean(frame).where("product_id = 1").collect()}
+    out = gone.collect()
+    assert kept == {1000.0} and len(out) == 999 + 1000
+    assert {r["price"] for r in out if r["product_id"] == 1} == {float(i + 1) for i in range(999)}
+    splits = spark.read.parquet(_written(spark, "reasons")).groupBy("product_id", "_split").count()
+    assert splits.where("product_id = 1").count() > 1
+
+
+def _written(spark, purpose):
+    """The newest scratch table of a purpose."""
+    folders = glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/lakepipe/{purpose}-*")
+    return max(folders, key=os.path.getmtime)
 
 
 def test_keys_with_nulls_repeat_too(raw):

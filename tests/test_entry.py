@@ -1,0 +1,32 @@
+"""The entry module without the optional part, or without a library that part needs."""
+
+import json
+import os
+import subprocess
+import sys
+
+import pytest
+
+from lakepipe import oracles, registry
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+BLOCK = """
+import importlib.abc, json, sys
+class Absent(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path=None, target=None):
+        if name == {name!r} or name.startswith({name!r} + "."):
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Absent())
+import __spark_entry__ as entry
+print(json.dumps([sorted(entry.queries()), sorted(entry.oracle_sql())]))
+"""
+
+
+@pytest.mark.parametrize("name", ["lakepipe.llm", "tiktoken", "corpus_pipeline"])
+def test_the_rest_works_without(name):
+    out = subprocess.run([sys.executable, "-c", BLOCK.format(name=name)], cwd=ROOT, capture_output=True, text=True, check=True)
+    queries, sql = json.loads(out.stdout.splitlines()[-1])
+    assert set(registry.queries()) <= set(queries) and set(oracles.oracle_sql()) <= set(sql)
+    assert "pipeline" not in queries
+    if name != "corpus_pipeline":
+        assert set(queries) == set(registry.queries())

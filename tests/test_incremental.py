@@ -1,0 +1,112 @@
+"""Cleaning batch by batch equals cleaning everything at once."""
+
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from lakepipe.operators import cleaning, incremental
+from lakepipe.sources import catalog
+from test_cleaning import row
+
+few = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+TIMES = ["2019-10-01 10:00:00", "2019-10-01 10:00:01", "2019-10-02 10:00:00", "2019-11-01 00:00:00", None]
+
+
+def random_rows(seed, n):
+    rng = random.Random(seed)
+    return [
+        row(
+            time=rng.choice(TIMES),
+            kind=rng.choice(["view", "cart", "purchase", "add_to_cart", None]),
+            product=rng.choice([1, 2, None]),
+            brand=rng.choice(["a", "b", None]),
+            price=rng.choice([1.0, 2.0, 0.0, None, float("nan")]),
+            user=rng.choice([1, 2, None]),
+            session=rng.choice(["s", None]),
+        )
+        for _ in range(n)
+    ]
+
+
+def new_table(spark, raw):
+    table = f"{catalog.scratch_schema(spark, 'test')}.events"
+    catalog.publish(catalog.day_last(cleaning.clean(raw([row()]).where("false"))), table)
+    return table
+
+
+def rows_of(frame, columns):
+    return Counter(str(tuple(r)) for r in frame.select(*columns).collect())
+
+
+@few
+@given(st.integers(0, 10**6), st.lists(st.integers(0, 12), min_size=1, max_size=4))
+def test_any_batches_in_any_order(spark, raw, seed, sizes):
+    table, everything = new_table(spark, raw), []
+    for k, n in enumerate(sizes):
+        batch = random_rows(seed + k, n)
+        everything += batch
+        incremental.clean_into(raw(batch), table)
+    whole = cleaning.clean(raw(everything))
+    assert rows_of(spark.table(table), whole.columns) == rows_of(whole, whole.columns)
+
+
+def test_what_changes(spark, raw):
+    table = new_table(spark, raw)
+    first = [row(product=1), row(product=2, kind="purchase"), row(product=3, time="2019-10-05 00:00:00"), row(product=4, session=None)]
+    counts = {r["change"]: r["rows"] for r in incremental.clean_into(raw(first), table).collect()}
+    assert counts == {"added": 4}
+    before = {r["file"] for r in catalog.files_by_day(spark, table).where("event_date = '2019-10-05'").collect()}
+    second = [row(product=1, kind="purchase"), row(product=2), row(product=3, time="2019-10-05 00:00:00"), row(product=9)]
+    second += [row(product=4, session=None, kind="cart"), row(product=9, price=0.0)]
+    counts = {r["change"]: r["rows"] for r in incremental.clean_into(raw(second), table).collect()}
+    assert counts == {"added": 1, "replaced": 2, "kept": 2}
+    after = {r["file"] for r in catalog.files_by_day(spark, table).where("event_date = '2019-10-05'").collect()}
+    assert before == after  # a day on which nothing wins is not rewritten
+    kinds = {r["product_id"]: r["event_type"] for r in spark.table(table).collect()}
+    assert kinds == {1: "purchase", 2: "purchase", 3: "view", 4: "cart", 9: "view"}
+    assert incremental.clean_into(raw(second), table).where("change <> 'kept'").isEmpty()
+
+
+def test_an_empty_batch_and_an_invalid_one(spark, raw):
+    table = new_table(spark, raw)
+    incremental.clean_into(raw([row()]), table)
+    assert incremental.clean_into(raw([row()]).where("false"), table).isEmpty()
+    assert incremental.clean_into(raw([row(price=None)]), table).isEmpty()
+    assert spark.table(table).count() == 1
+
+
+@pytest.fixture
+def two_days(spark, raw):
+    table = new_table(spark, raw)
+    rows = [row(time=f"2019-10-0{1 + i % 2} 10:00:00", product=i) for i in range(200)]
+    incremental.clean_into(raw(rows), table)
+    new = catalog.day_last(cleaning.clean(raw([row(time="2019-10-02 10:00:00", product=i) for i in (1, 3, 900)])))
+    return spark.table(table), new.select(*spark.table(table).columns)
+
+
+def test_only_the_days_and_keys_of_the_batch_are_read(two_days):
+    published, new = two_days
+    met = incremental.met_rows(published, new)
+    assert {r["product_id"] for r in met.collect()} == {1, 3}
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2019-10-02" in plan[plan.index("PartitionFilters: [") :][:200]
+
+
+def test_a_large_old_side_is_filtered_by_a_bloom_filter(spark, raw, conf, two_days):
+    published, new = two_days
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/batch-of-test"
+    new.write.mode("overwrite").parquet(folder)
+    met = incremental.met_rows(published, spark.read.parquet(folder))
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "might_contain" in plan and "bloom_filter_agg" in plan
+    assert {r["product_id"] for r in met.collect()} == {1, 3}
+
+
+def test_equal_keys_have_equal_hashes(spark, raw):
+    rows = raw([row(session=None), row(session=""), row(product=None), row(time=None), row(time=None, product=None, session=None)])
+    hashes = rows.select(incremental.key_hash().alias("h")).collect()
+    assert len({r["h"] for r in hashes}) == 5 and None not in {r["h"] for r in hashes}

@@ -242,3 +242,36 @@ def test_one_class_only_does_not_crash(spark, kind):
     scored = apply(fit(rows, kind, "no_leak", 200), rows)
     assert scored.where("prediction <> 0").isEmpty()
     assert metrics.roc_auc(scored).first()["auc"] is None
+
+
+def area(pairs):
+    pos, neg = [s for s, y in pairs if y == 1], [s for s, y in pairs if y == 0]
+    return sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg)) if pos and neg else None
+
+
+@pytest.mark.parametrize("bins", [1, 7, 1000])
+@pytest.mark.parametrize("low,high", [(0.0, 1.0), (0.3, 0.6), (-5.0, 5.0)])
+def test_area_lies_within_the_histogram_bounds(spark, bins, low, high):
+    rng = random.Random(bins)
+    pairs = [(rng.random(), rng.randint(0, 1)) for _ in range(300)] + [(0.5, 1), (0.5, 0), (0.0, 1), (1.0, 0)]
+    scored = spark.createDataFrame(pairs, "score double, label int")
+    r = metrics.auc_bounds(scored, bins, low, high).first()
+    assert r["lower"] <= area(pairs) <= r["upper"] and abs(r["auc"] - area(pairs)) <= r["error_bound"] + 1e-12
+    assert r["bins_used"] <= bins + 2
+    assert abs(r["upper"] - r["lower"] - 2 * r["error_bound"]) < 1e-12
+
+
+def test_more_bins_narrow_the_bound_to_the_exact_area(spark):
+    pairs = [(k / 512, (k * 7919) % 3 == 0) for k in range(512)]
+    scored = spark.createDataFrame([(s, int(y)) for s, y in pairs], "score double, label int")
+    bounds = [metrics.auc_bounds(scored, bins).first()["error_bound"] for bins in (4, 64, 512)]
+    assert bounds[0] > bounds[1] > bounds[2] == 0.0
+    assert metrics.auc_bounds(scored, 512).first()["auc"] == metrics.roc_auc(scored).first()["auc"]
+
+
+def test_odd_scores_have_bins_of_their_own(spark):
+    odd = [(float("nan"), 1), (float("inf"), 1), (-float("inf"), 0), (None, 1), (0.2, 0)]
+    r = metrics.auc_bounds(spark.createDataFrame(odd, "score double, label int"), 10).first()
+    assert (r["auc"], r["error_bound"], r["bins_used"]) == (1.0, 0.0, 4)
+    one = spark.createDataFrame([(0.2, 1)], "score double, label int")
+    assert metrics.auc_bounds(one).first()["auc"] is None and metrics.auc_bounds(one.where("false")).first()["auc"] is None

@@ -1,0 +1,68 @@
+"""Reports as SQL over registered tables."""
+
+import datetime
+
+import pytest
+from pyspark.errors import ParseException
+
+from lakepipe.operators import cleaning, gold, reports
+from lakepipe.plans import report_sql
+from test_cleaning import row
+
+
+@pytest.fixture
+def silver(raw):
+    kinds = ["view", "purchase", "cart", "add_to_cart", "purchase"]
+    rows = [row(time=f"2024-01-{1 + i % 20:02d} 10:00:00", kind=kinds[i % 5], product=i % 7, price=1.0 + i / 3, user=i, session=str(i)) for i in range(200)]
+    return cleaning.clean(raw(rows))
+
+
+def test_each_report_equals_its_function(spark, silver):
+    daily, products = gold.daily_revenue(silver), gold.product_performance(silver)
+    for name, frame in (("s1", silver), ("d1", daily), ("p1", products)):
+        frame.createOrReplaceTempView(name)
+    pairs = [
+        (report_sql.event_type_distribution(spark, "s1"), reports.event_type_distribution(silver)),
+        (report_sql.top_revenue_days(spark, "d1", 3), reports.top_revenue_days(daily, 3)),
+        (report_sql.purchase_funnel(spark, "p1"), reports.purchase_funnel(products)),
+    ]
+    for by_sql, by_function in pairs:
+        assert by_sql.columns == by_function.columns
+        assert list(map(tuple, by_sql.collect())) == list(map(tuple, by_function.collect()))
+
+
+def test_predictions(spark):
+    schema = "user_id long, total_spent double, purchase_probability double, purchase_label string"
+    frame = spark.createDataFrame([(i, i / 7, i / 31, "ab"[i % 2]) for i in range(31)] + [(99, None, None, None)], schema)
+    frame.createOrReplaceTempView("pr1")
+    want = reports.prediction_summary(frame).collect()
+    assert list(map(tuple, report_sql.prediction_summary(spark, "pr1").collect())) == list(map(tuple, want))
+
+
+def test_days_can_be_bounded(spark, silver):
+    gold.daily_revenue(silver).createOrReplaceTempView("d2")
+    since, until = datetime.date(2024, 1, 5), datetime.date(2024, 1, 9)
+    days = [r["event_date"] for r in report_sql.top_revenue_days(spark, "d2", 10, since, until).collect()]
+    assert days and all(since <= d <= until for d in days)
+    assert len(report_sql.top_revenue_days(spark, "d2", 10, since).collect()) > len(days)
+
+
+def test_no_carts_give_null(spark, silver):
+    gold.product_performance(silver.where("event_type = 'view'")).createOrReplaceTempView("p2")
+    assert tuple(report_sql.purchase_funnel(spark, "p2").first()) == (0.0, None, 0.0)
+
+
+def test_names_are_no_text_of_the_statement(spark, silver):
+    silver.createOrReplaceTempView("s3")
+    assert report_sql.event_type_distribution(spark, "`s3`").count() == 4
+    with pytest.raises(ParseException):
+        report_sql.event_type_distribution(spark, "s3 WHERE false").collect()
+
+
+def test_layers_are_counted_under_their_own_names(spark, silver):
+    names = {}
+    for k, layer in enumerate(report_sql.LAYERS):
+        spark.range(k).createOrReplaceTempView(f"layer_{k}")
+        names[layer] = f"layer_{k}"
+    got = {r["layer"]: r["rows"] for r in report_sql.layer_counts(spark, names).collect()}
+    assert got == {layer: k for k, layer in enumerate(report_sql.LAYERS)}
