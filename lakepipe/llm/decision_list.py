@@ -1,16 +1,20 @@
 """Learned quality rules: an ordered list of threshold conjunctions, as native column expressions.
 
 Sequential covering over labelled text statistics. A rule grows one threshold at a time by information
-gain on two thirds of the labelled rows, loses its last thresholds again where that helps on the other
-third, and is accepted if it is precise there; the rows it covers leave the table, and the next rule is
-grown. Every decision needs only counts per (statistic, bin), which Spark aggregates; the driver sees
+gain on two thirds of the labelled rows until none gains, loses its last thresholds again where that helps on
+the other third, and is accepted if it is precise; the rows it covers leave the table, and the next rule is
+grown. After a rule that is not accepted the next one must begin with another statistic or direction; learning ends
+when none is left or too few bad texts are. Every decision needs only counts per (statistic, bin), which Spark aggregates; the driver sees
 bins, never rows. The result is a chain of ``when`` expressions.
 
 Statistics are array and string functions in the row, so a text is never exploded or shuffled.
 
+Candidate thresholds are approximate quantiles (within a 10,000th of the rows), which may depend on how the labelled
+rows are spread over tasks; all counts are exact.
+
 Defined results: a null text has no words; a text without words has every share 0; without labels, or
 with one class only, the list is empty and keeps everything that passes the base rule. Rows that share an
-id are judged each by its own text; a document with contradicting labels is not learnt from.
+id are judged each by its own text, whole whatever its length; a document with contradicting labels is not learnt from.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ STATISTICS = [
     "mean_word", "symbol_share", "duplicate_line_share", "repeat_share", "upper_share", "digit_share",
     "loud_share", "distinct_share", "words_per_line",
 ]
-BINS, MOST_RULES, MOST_CONDITIONS = 24, 8, 4
+BINS = 24
 LEAST_PRECISION, LEAST_COVERED = 0.95, 5
 
 
@@ -36,6 +40,17 @@ def _count(pattern: str) -> Column:
     return F.length("body") - F.length(F.regexp_replace("body", pattern, ""))
 
 
+def _equal_window(other: str) -> str:
+    """SQL: whether window ``w`` has the hash and the words of another one, false where there is none."""
+
+    def place(window):
+        return f"CAST({window} & (shiftleft(1L, place_bits) - 1) AS INT)"
+
+    words = [f"get(words, {place('w')} + {k}) = get(words, {place(other)} + {k})" for k in range(3)]
+    hashes = f"shiftrightunsigned(w, place_bits) = shiftrightunsigned({other}, place_bits)"
+    return f"coalesce({hashes} AND {' AND '.join(words)}, false)"
+
+
 def text_statistics(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (text and anything else) with the counts of the base rule and the learner's statistics.
 
@@ -44,7 +59,8 @@ def text_statistics(docs: DataFrame) -> DataFrame:
 
     ``n_repeat_words`` counts words in three-word windows that occur twice or more. Windows are hashed
     into the upper bits of a number whose lower bits are the window's place, so that sorting the numbers
-    puts equal windows side by side.
+    puts equal windows side by side. Neighbours with equal hashes count only if their words are equal; the next but
+    one is compared as well, should a window with the same hash and other words stand between two equal ones.
     """
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     frame = docs.select(others.alias("row"), F.col("text").alias("given"), F.coalesce("text", F.lit("")).alias("body"))
@@ -74,9 +90,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     frame = frame.withColumn(
         "repeated",
         F.expr(
-            "filter(windows, (w, j) -> "
-            "coalesce(shiftrightunsigned(w, place_bits) = shiftrightunsigned(get(windows, j - 1), place_bits), false) OR "
-            "coalesce(shiftrightunsigned(w, place_bits) = shiftrightunsigned(get(windows, j + 1), place_bits), false))"
+            f"filter(windows, (w, j) -> {' OR '.join(_equal_window(f'get(windows, j {step})') for step in ('- 1', '+ 1', '- 2', '+ 2'))})"
         ),
     )
     frame = frame.withColumn("places", F.expr("sort_array(transform(repeated, w -> w & (shiftleft(1L, place_bits) - 1)))"))
@@ -163,8 +177,10 @@ def _counts(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, list[tup
     return table
 
 
-def _best(table: dict[str, list[tuple[int, int]]], cuts: dict[str, list[float]]) -> tuple[float, Condition | None]:
-    """The condition with the highest information gain on the counted rows."""
+def _best(
+    table: dict[str, list[tuple[int, int]]], cuts: dict[str, list[float]], tried: set[tuple[str, bool]] = frozenset()
+) -> tuple[float, Condition | None]:
+    """The condition with the highest information gain on the counted rows, but for the directions in ``tried``."""
     best: tuple[float, Condition | None] = (0.0, None)
     for s, bins in table.items():
         total_p, total_n = (sum(b[k] for b in bins) for k in (0, 1))
@@ -175,7 +191,7 @@ def _best(table: dict[str, list[tuple[int, int]]], cuts: dict[str, list[float]])
         for k, cut in enumerate(cuts[s]):
             low_p, low_n = low_p + bins[k][0], low_n + bins[k][1]
             for above, p, n in ((False, low_p, low_n), (True, total_p - low_p, total_n - low_n)):
-                gain = p * (math.log2(p / (p + n)) - before) if p else 0.0
+                gain = p * (math.log2(p / (p + n)) - before) if p and (s, above) not in tried else 0.0
                 if gain > best[0] + 1e-9:
                     best = (gain, Condition(s, above, cut))
     return best
@@ -192,11 +208,14 @@ def learn(labelled: DataFrame) -> DecisionList:
     bins = [bin_of(s) for s in STATISTICS]
     table = written_once(labelled.select("bad", "grow", *STATISTICS, F.array(*bins).alias("bins")), "labelled")
     learned = DecisionList()
-    while len(learned.rules) < MOST_RULES:
+    tried: set[tuple[str, bool]] = set()  # first conditions that led to no rule on the rows that are left
+    while True:
         left = table.where(learned.keeps())
+        if left.where("bad = 1").count() < LEAST_COVERED:
+            break
         rule: list[Condition] = []
-        while len(rule) < MOST_CONDITIONS:
-            _, condition = _best(_counts(left.where(F.col("grow") & _all(rule)), cuts), cuts)
+        while True:
+            _, condition = _best(_counts(left.where(F.col("grow") & _all(rule)), cuts), cuts, set() if rule else tried)
             if condition is None:
                 break
             rule.append(condition)
@@ -218,8 +237,10 @@ def learn(labelled: DataFrame) -> DecisionList:
         size = max(prefixes, key=lambda k: (worth[k], -k))
         bad, good = (sums[f"g{c}{size}"] + sums[f"p{c}{size}"] for c in (1, 0))
         if bad < LEAST_COVERED or bad < LEAST_PRECISION * (bad + good):
-            break
+            tried.add((rule[0].statistic, rule[0].above))
+            continue
         learned.rules.append(rule[:size])
+        tried = set()
     return learned
 
 

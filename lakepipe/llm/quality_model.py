@@ -7,12 +7,13 @@ the text's structure and its length, so that a pair of statistics, or a statisti
 together. Labels, language, source and ids are no features.
 
 The model learns from at most ``most_rows`` labelled documents, those with the smallest hashes of their
-ids; the sample is gathered in one task, the model (``BUCKETS`` + bins, ``RANK`` numbers each) is of fixed
+ids (whole ranges of hashes, so a few less); the sample is gathered in one task, the model (``BUCKETS`` + bins, ``RANK`` numbers each) is of fixed
 size. All documents are scored.
 
 Defined results: a null text is empty and is scored like an empty one; a document with contradicting
 labels is not learnt from, nor is one whose label is null; without any label every score is 0.5; with one
-class only, the score tends to that class. Rows that share an id are scored each by its own text.
+class only, the score tends to that class. Rows that share an id are scored each by its own text, whole
+whatever its length. Other columns are no features, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakepipe.llm import store
 from lakepipe.llm.words import buffer_of, words_of
@@ -159,11 +160,27 @@ def _rows_of(column: pa.ListArray) -> list[np.ndarray]:
     return [values[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
 
 
+HASH_BITS = 20  # of the ranges in which labelled ids are counted
+
+
+def _smallest_hashes(known: DataFrame, most_rows: int) -> DataFrame:
+    """The rows of ``known`` in the ranges of id hashes, from the first on, that hold ``most_rows`` together at most.
+
+    The ids are counted per range, so the ranges to take are known before any row is gathered.
+    """
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - HASH_BITS)
+    counted = known.groupBy(place.alias("range")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy(F.lit(0)).orderBy("range")  # of at most 2 ** HASH_BITS short rows
+    beyond = counted.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") > most_rows)
+    first = beyond.agg(F.min("range")).first()[0]
+    return known if first is None else known.where(place < first)
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = MOST_ROWS) -> Model:
     """Learns ``quality`` of ``labels`` (doc_id, quality) from the texts of ``docs``; ``usable`` tells which ids may be learnt from."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(usable).groupBy("doc_id")
     known = known.agg(F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other")
-    chosen = known.select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+    chosen = _smallest_hashes(known.select("doc_id", "label"), most_rows)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``most_rows`` short rows
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -84,3 +84,29 @@ def test_one_class_gives_an_empty_list_or_none_that_errs(spark, value):
     frame = rows_of(spark).withColumn("bad", F.lit(value))
     rules = decision_list.learn(frame)
     assert rules.rules == []
+
+
+def test_kept_is_the_base_rule_and_the_learned_rules(spark):
+    """The verdict of the query, condition by condition in Python, with the rules learnt again."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    statistics = decision_list.text_statistics(docs).drop("given")
+    rules = decision_list.learn_from(statistics, spark.read.parquet(f"{SMALL}/labels.parquet")).rules
+    assert rules
+    want = {}
+    for r in statistics.collect():
+        covered = any(all((r[c.statistic] > c.threshold) == c.above for c in rule) for rule in rules)
+        want[r["row"]["doc_id"]] = r["n_words"] >= 50 and 100 * r["n_repeat_words"] <= 50 * r["n_words"] and not covered
+    assert {r["doc_id"]: r["kept"] for r in queries.op6_decision_list(spark, SMALL).collect()} == want
+
+
+def test_learning_goes_on_until_no_rule_passes(spark):
+    """Ten kinds of bad text, each with a statistic and a direction or range of its own."""
+    kinds = [(s, side) for s in decision_list.STATISTICS[:5] for side in (0, 1)]
+    value = {s: F.lit(0.5) for s in decision_list.STATISTICS}
+    kind = F.col("id") % 20
+    for k, (s, side) in enumerate(kinds):
+        value[s] = F.when(kind == k, 0.9 if side else 0.1).otherwise(value[s])
+    frame = spark.range(2000).select("id", *[v.alias(s) for s, v in value.items()], (F.col("id") % 3 != 0).alias("grow"))
+    frame = frame.withColumn("bad", (kind < 10).cast("int"))
+    rules = decision_list.learn(frame)
+    assert len(rules.rules) >= 10 and frame.where(rules.keeps() == (F.col("bad") == 1)).isEmpty()

@@ -1,8 +1,14 @@
+import math
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lakepipe.llm import quality_model, queries
+from lakepipe.llm.words import buffer_of, words_of
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -37,6 +43,58 @@ def test_pairwise_term_is_the_sum_over_pairs():
         assert score == pytest.approx(1 / (1 + np.exp(-y)), rel=1e-4)
 
 
+def described(text):
+    """The features of one text without arrays: {bucket: weight} and the statistics."""
+    data = text.encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", bytes(c + 32 if 65 <= c <= 90 else c for c in data))
+    of = [int(words_of(*buffer_of([w])).hashes[0]) for w in words]
+    often = Counter(h % quality_model.BUCKETS for h in of)
+    weight = {b: 1 + math.log(n) for b, n in often.items()}
+    norm = math.sqrt(max(sum(w * w for w in weight.values()), 1e-12))
+    size, n = max(1, len(data)), max(1, len(words))
+    shares = [sum(c in chars for c in data) / size for chars in quality_model.CLASSES.values()]
+    return {b: w / norm for b, w in weight.items()}, [
+        *shares,
+        math.log1p(len(data)),
+        math.log1p(len(words)),
+        sum(map(len, words)) / n,
+        sum(a == b for a, b in zip(of, of[1:])) / n,
+        len(weight) / n,
+        len(words) / (data.count(b"\n") + 1),
+    ]
+
+
+def test_query_against_brute_force_scores(spark):
+    """Every score of the query as the sum over all pairs of features, with features counted text by text."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    usable = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    model = quality_model.train(docs, spark.read.parquet(f"{folder}/labels.parquet"), usable)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    rows = queries.op9_quality_scores(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        weight, statistics = described(texts[r["doc_id"]])
+        bins = [
+            quality_model.BUCKETS + k * (quality_model.BINS + 1) + sum(cut < s - 1e-12 for cut in cuts)
+            for k, (cuts, s) in enumerate(zip(model.cuts, statistics))
+        ]
+        index, value = [*weight, *bins], np.array([*weight.values(), *[1.0] * len(bins)])
+        vectors = model.low_rank[index].astype(float) * value[:, None]
+        products = vectors @ vectors.T
+        y = model.bias + float(model.linear[index] @ value) + float(np.triu(products, 1).sum())
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-y)), abs=1e-4)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_sample_of_the_smallest_hashes(spark):
+    known = spark.range(5000).withColumnRenamed("id", "doc_id")
+    for most in (0, 1, 700, 4999, 5000, 9000):
+        ids = {r[0] for r in quality_model._smallest_hashes(known, most).collect()}
+        order = [r[0] for r in known.orderBy(F.expr("shiftrightunsigned(xxhash64(doc_id), 44)"), "doc_id").collect()]
+        assert ids == set(order[: len(ids)]) and min(most, 5000) - 3 <= len(ids) <= most
+
+
 def test_text_alone_decides(spark):
     """Other ids, languages and sources do not change a score."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(50)
