@@ -66,7 +66,9 @@ def across_blocks(members: DataFrame, keep=None) -> DataFrame:
     largest = blocks.groupBy("bucket").agg(
         F.max_by("block", F.struct("n", "block")).alias("largest"), F.count(F.lit(1)).alias("blocks")
     )
-    mixed = written_once(members.join(largest.where("blocks > 1").drop("blocks"), "bucket"), "mixed")
+    # Written, so that the join has exchanges of its own, whose hot partitions Spark can split.
+    largest = written_once(largest.where("blocks > 1").drop("blocks"), "largest")
+    mixed = written_once(members.join(largest, "bucket"), "mixed")
     rest = mixed.where("block <> largest")
 
     def paired(left, right, apart):

@@ -91,8 +91,8 @@ def _count_pairs(texts: DataFrame, bits: int, folder: str) -> DataFrame:
         first, second, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
         keys, counts, where = store.summed(_pair_keys(first, second), counts)
         first, second = first[where], second[where]
-        # float32 holds counts up to 2 ** 24 exactly; far above, the relative error is below 1e-7.
-        store.save(folder, shard, key=keys, pair=counts.astype(np.float32))
+        wide = np.uint64 if counts.max(initial=0) >= 2**32 else np.uint32
+        store.save(folder, shard, key=keys, pair=counts.astype(wide))
         seen = np.stack([counts == 1, counts == 2, counts > 2, counts == 3, counts == 4]).astype(np.int64)
         word = np.concatenate([second, first])
         zero = np.zeros(len(first), np.int64)
@@ -104,14 +104,14 @@ def _count_pairs(texts: DataFrame, bits: int, folder: str) -> DataFrame:
         word, at = np.unique(word, return_inverse=True)
         facts = [np.bincount(at, weights=f, minlength=len(word)).astype(np.uint64) for f in facts]
         shards, edges = store.shard_edges(word, bits)
-        totals = [int(seen[k].sum()) for k in (0, 1, 3, 4)]
+        totals = [*(int(seen[k].sum()) for k in (0, 1, 3, 4)), 1]  # the last counts the shards of pairs
         rows = [
             {
                 "shard": int(s),
                 "n": int(hi - lo),
                 "words": store.pack_sorted(word[lo:hi]),
                 "facts": [store.pack(f[lo:hi]) for f in facts],
-                "totals": totals if k == 0 else [0] * 4,
+                "totals": totals if k == 0 else [0] * 5,
             }
             for k, (s, lo, hi) in enumerate(zip(shards, edges[:-1], edges[1:], strict=True))
         ]
@@ -138,7 +138,7 @@ def _count_words(facts: DataFrame, folder: str) -> dict[str, float]:
     """Writes the arrays of words; returns the model's few totals."""
 
     def merge(table: pa.Table) -> pa.Table:
-        shard, words, values, totals = None, [], [[] for _ in WORD_FIELDS], np.zeros(4, np.int64)
+        shard, words, values, totals = None, [], [[] for _ in WORD_FIELDS], np.zeros(5, np.int64)
         for row in table.to_pylist():
             shard, n = row["shard"], row["n"]
             words.append(store.unpack_sorted(row["words"], n))
@@ -159,12 +159,16 @@ def _count_words(facts: DataFrame, folder: str) -> dict[str, float]:
             **{f"p{k + 1}": int(t) for k, t in enumerate(totals)},
             **{f"w{k}": int((before == k).sum()) for k in (1, 2, 3, 4)},
             "w3up": int((before > 2).sum()),
+            "word_shards": 1,
         }
         return pa.Table.from_pylist([row], pa.schema([(k, pa.int64()) for k in row]))
 
     names = ["tokens", "kinds", "pairs", "p1", "p2", "p3", "p4", "w1", "w2", "w3", "w4", "w3up"]
+    names += ["p5", "word_shards"]
     shards = facts.groupBy("shard").applyInArrow(merge, ", ".join(f"{n} long" for n in names))
     found = shards.agg(*[F.sum(n).alias(n) for n in names]).first()
+    store.seal(folder, found["p5"] or 0)
+    store.seal(folder, found["word_shards"] or 0, "word")
     return {n: float(found[n] or 0) for n in names}
 
 

@@ -198,7 +198,7 @@ def _count(docs: DataFrame, folder: str, bits: int, min_docs: int, min_tokens: i
 
     kinds = "shard int, n long, keys binary, docs binary, need binary, first binary"
     partial = docs.select("doc_id", "text").mapInArrow(count, kinds)
-    partial.groupBy("shard").applyInArrow(merge, "shard int, n long").agg(F.sum("n")).first()
+    store.seal(folder, partial.groupBy("shard").applyInArrow(merge, "shard int, n long").agg(F.count("n")).first()[0])
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:

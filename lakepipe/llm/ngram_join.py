@@ -10,7 +10,8 @@ sizes, are n-grams that the other set lacks.
 
 Components do not need all links of a dense group. A few passes verify, for every prefix n-gram, its
 documents against one of them, another one in each pass; the last pass joins the documents that these
-left in different components. No link between components is lost, and a group of near copies that are
+left in different components. A pair that one pass has looked at is left out of the later ones, so each is
+verified once. No link between components is lost, and a group of near copies that are
 linked with each other costs pairs in proportion to its size, not to the square of it.
 
 Defined results: a null text is empty; an empty set links with nothing and is its own component; rows
@@ -75,7 +76,7 @@ def _document_counts(docs: DataFrame, width: int, folder: str, bits: int) -> Non
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(key)], pa.int64())})
 
     partial = docs.select("text").mapInArrow(count, "shard int, n long, keys binary, counts binary")
-    partial.groupBy("shard").applyInArrow(merge, "shard int, n long").agg(F.sum("n")).first()
+    store.seal(folder, partial.groupBy("shard").applyInArrow(merge, "shard int, n long").agg(F.count("n")).first()[0])
 
 
 def _batch(rows: list[tuple], *fields: tuple[str, pa.DataType]) -> pa.RecordBatch:
@@ -224,7 +225,16 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
             F.least(a_place, b_place) + rest >= _overlap(a_size, b_size, percent)
         )
 
-    links = block = None
+    links = block = tried = None
+
+    def verified_once(pairs):
+        """The links among the pairs that no earlier pass has looked at."""
+        nonlocal tried
+        new = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["a", "b"], "left_anti")
+        new = written_once(new, "pairs")
+        tried = new if tried is None else tried.union(new)
+        return written_once(_verified(new, nodes, percent), "links")
+
     for turn in range(HUB_PASSES):
         # Each n-gram's documents against one of them, another one for another n-gram and pass.
         members = postings.withColumn("block", F.col("node"))
@@ -233,12 +243,12 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         hubs = members.groupBy("bucket").agg(
             F.min_by(F.struct("node", "size", "place", "block"), F.xxhash64("bucket", "node", F.lit(turn))).alias("hub")
         )
-        hubs = hubs.select("bucket", "hub.*").alias("hub")
+        # Written, so that the join has exchanges of its own, whose hot partitions Spark can split.
+        hubs = written_once(hubs.select("bucket", "hub.*"), "hubs").alias("hub")
         met = members.alias("own").join(hubs, "bucket")
         met = met.where((F.col("own.block") != F.col("hub.block")) & may_link("own", "hub"))
         a, b = F.col("own.node"), F.col("hub.node")
-        pairs = met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-        found = written_once(_verified(pairs, nodes, percent), "links")
+        found = verified_once(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")))
         links = found if links is None else links.union(found)
         block = written_once(graph.components(links), "blocks")
 
@@ -253,8 +263,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         sizes = F.col(f"{x}.size"), F.col(f"{y}.size")
         return may_link(x, y) & (odd <= sizes[0] + sizes[1] - 2 * _overlap(*sizes, percent))
 
-    pairs = graph.across_blocks(members, near).distinct()
-    links = links.union(written_once(_verified(pairs, nodes, percent), "links"))
+    links = links.union(verified_once(graph.across_blocks(members, near)))
     component = graph.components(links)
     named = classes.join(component, "node", "left").select(*digest, F.coalesce("component", "node").alias("component"))
     return signed.select("doc_id", *digest).join(named, digest, "left").select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -83,17 +84,28 @@ def save(folder: str, shard: int, **arrays: np.ndarray) -> None:
         os.replace(unfinished, f"{folder}/{name}-{shard}.npy")
 
 
+def seal(folder: str, written: int, key: str = "key") -> None:
+    """Records which shards there are, once all tasks have written theirs; ``written`` is how many these report."""
+    found = [re.fullmatch(rf"{re.escape(key)}-([0-9]+)\.npy", name) for name in os.listdir(folder)]
+    shards = sorted(int(m[1]) for m in found if m)
+    if len(shards) != written:
+        raise FileNotFoundError(f"{folder} has {len(shards)} of {written} shards: not all executors write to it")
+    with open(f"{folder}/{key}.shards", "wb") as out:
+        np.save(out, np.array(shards, np.int64))
+
+
 class Shards:
-    """Look-ups in the arrays of a folder. Files are mapped when first needed; a missing shard is empty."""
+    """Look-ups in the arrays of a sealed folder. Files are mapped when first needed; a shard that was written and
+    cannot be seen here is an error, one that nothing was written for is empty."""
 
     def __init__(self, folder: str, bits: int, key: str = "key"):
         self.folder, self.bits, self.key, self._maps = folder, bits, key, {}
+        self._written = set(np.load(f"{folder}/{key}.shards").tolist())
 
     def _array(self, name: str, shard: int):
         if (name, shard) not in self._maps:
-            path = f"{self.folder}/{name}-{shard}.npy"
-            empty = not os.path.exists(path) or os.path.getsize(path) <= 128
-            self._maps[name, shard] = None if empty else np.load(path, mmap_mode="r")
+            array = np.load(f"{self.folder}/{name}-{shard}.npy", mmap_mode="r") if shard in self._written else None
+            self._maps[name, shard] = array if array is not None and len(array) else None
         return self._maps[name, shard]
 
     def find(self, keys: np.ndarray, *names: str | tuple[str, type, int]) -> list[np.ndarray]:
