@@ -87,12 +87,12 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     frame = frame.withColumn("windows", F.sort_array(keys)).withColumns(
         {"n_lines": F.size("lines"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")}
     )
-    frame = frame.withColumn(
-        "repeated",
-        F.expr(
-            f"filter(windows, (w, j) -> {' OR '.join(_equal_window(f'get(windows, j {step})') for step in ('- 1', '+ 1', '- 2', '+ 2'))})"
-        ),
-    )
+    # Most windows differ from both neighbours in their hash; the words are compared for the others only.
+    top = "shiftrightunsigned({}, place_bits)"
+    beside = [f"coalesce({top.format('w')} = {top.format(f'get(windows, j {step})')}, false)" for step in ("- 1", "+ 1")]
+    frame = frame.withColumn("alike", F.expr(f"filter(windows, (w, j) -> {' OR '.join(beside)})"))
+    equal = [_equal_window(f"get(alike, j {step})") for step in ("- 1", "+ 1", "- 2", "+ 2")]
+    frame = frame.withColumn("repeated", F.expr(f"filter(alike, (w, j) -> {' OR '.join(equal)})"))
     frame = frame.withColumn("places", F.expr("sort_array(transform(repeated, w -> w & (shiftleft(1L, place_bits) - 1)))"))
     frame = frame.withColumn(
         "n_repeat_words",
