@@ -36,7 +36,8 @@ DIMENSIONS, BITS = 4, 15
 
 #: Fixed value: how byte-level tokenizers of this family split text before merging.
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_LONG_SPACE = re.compile(r"\s{20000}")
+LONG_SPACE = 20_000  # characters of white space that the quicker encoder's pattern still takes
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
 
 
 class ByteBpe:
@@ -65,7 +66,8 @@ class ByteBpe:
 
     def encode(self, text: bytes) -> np.ndarray:
         plain = text.decode()
-        if any(s in text for s in self._special) or _LONG_SPACE.search(plain) or newer_than_python(plain):
+        spaces = len(plain) >= LONG_SPACE and _LONG_SPACE.search(plain)
+        if spaces or any(s in text for s in self._special) or newer_than_python(plain):
             return np.array(self._tokenizer.encode(plain, add_special_tokens=False).ids, "<u4")
         return self._quick.encode_to_numpy(plain, disallowed_special=()).astype("<u4", copy=False)
 

@@ -160,20 +160,28 @@ def _rows_of(column: pa.ListArray) -> list[np.ndarray]:
     return [values[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
 
 
-HASH_BITS = 20  # of the ranges in which labelled ids are counted
+HASH_BITS = 14  # that number the ranges in which labelled ids are counted
 
 
 def _smallest_hashes(known: DataFrame, most_rows: int) -> DataFrame:
     """The rows of ``known`` in the ranges of id hashes, from the first on, that hold ``most_rows`` together at most.
 
-    The ids are counted per range, so the ranges to take are known before any row is gathered.
+    The ids are counted per range, so the ranges to take are known before any row is gathered. Where not even the
+    first range fits, it is cut into ranges itself.
     """
-    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - HASH_BITS)
-    counted = known.groupBy(place.alias("range")).agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy(F.lit(0)).orderBy("range")  # of at most 2 ** HASH_BITS short rows
-    beyond = counted.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") > most_rows)
-    first = beyond.agg(F.min("range")).first()[0]
-    return known if first is None else known.where(place < first)
+    for bits in range(HASH_BITS, 64, HASH_BITS):
+        place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
+        counted = known.groupBy(place.alias("range")).agg(F.count(F.lit(1)).alias("n"))
+        upto = Window.partitionBy(F.lit(0)).orderBy("range")  # of at most 2 ** HASH_BITS short rows
+        placed = counted.withColumn("upto", F.sum("n").over(upto))
+        over = F.min(F.when(F.col("upto") > most_rows, F.col("range")))
+        least, first = placed.agg(F.min("range"), over).first()
+        if first is None:
+            return known
+        if first > least:
+            return known.where(place < first)
+        known = known.where(place == least)
+    return known.where("false")
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = MOST_ROWS) -> Model:
