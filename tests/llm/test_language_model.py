@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,52 +18,61 @@ def tokens(text):
 
 
 class Brute:
-    def __init__(self, texts):
-        self.count, self.pairs = Counter(), Counter()
+    """The model by its definition, from dictionaries of tuples."""
+
+    def __init__(self, texts, order=language_model.ORDER):
+        self.order, self.count = order, Counter()
+        self.levels = [Counter() for _ in range(order)]
         for text in texts:
             t = tokens(text)
             self.count.update(t)
-            self.pairs.update(zip(["<s>", *t[:-1]], t))
+            self.levels[-1].update(self.grams(t))
+        for k in range(order - 1, 0, -1):
+            self.levels[k - 1].update(g[1:] for g in self.levels[k])
         self.n, self.v = sum(self.count.values()), len(self.count)
-        self.kinds = Counter(w for _, w in self.pairs)
-        self.context, self.seen = Counter(), defaultdict(lambda: [0, 0, 0])
-        for (v, _), k in self.pairs.items():
-            self.context[v] += k
-            self.seen[v][min(k, 3) - 1] += 1
         of = lambda c: language_model.discounts(*[sum(x == j for x in c.values()) for j in (1, 2, 3, 4)])
-        self.pair_cut, self.word_cut = of(self.pairs), of(self.kinds)
-        self.spare = sum(self.word_cut[min(k, 3) - 1] for k in self.kinds.values())
-
-    @staticmethod
-    def less(k, cut):
-        return max(k - cut[min(k, 3) - 1], 0) if k else 0
-
-    def q(self, w):
-        return (self.less(self.kinds[w], self.word_cut) + self.spare / (self.v + 1)) / len(self.pairs)
-
-    def p(self, v, w):
-        if not self.context[v]:
-            return self.q(w)
-        left = sum(c * k for c, k in zip(self.pair_cut, self.seen[v])) / self.context[v]
-        return self.less(self.pairs[v, w], self.pair_cut) / self.context[v] + left * self.q(w)
+        self.cuts = [of(c) for c in self.levels]
+        self.contexts = [defaultdict(list) for _ in range(order)]
+        for contexts, level in zip(self.contexts, self.levels):
+            for g, k in level.items():
+                contexts[g[:-1]].append(k)
+        self.facts = [
+            {u: (sum(ks), sum(cut[min(k, 3) - 1] for k in ks)) for u, ks in contexts.items()}
+            for contexts, cut in zip(self.contexts, self.cuts)
+        ]
+
+    def grams(self, t):
+        t = ["<s>"] * (self.order - 1) + t
+        return [tuple(t[i : i + self.order]) for i in range(len(t) - self.order + 1)]
+
+    def p(self, *gram):
+        p = 1 / (self.v + 1)
+        for k, (level, cut, facts) in enumerate(zip(self.levels, self.cuts, self.facts), start=1):
+            g = gram[len(gram) - k :]
+            if g[:-1] in facts:
+                whole, left = facts[g[:-1]]
+                c = level[g]
+                p = (max(c - cut[min(c, 3) - 1], 0) if c else 0) / whole + left / whole * p
+        return p
 
     def scores(self, text):
         t = tokens(text)
         base = sum(math.log10((self.count[w] + 1) / (self.n + self.v + 1)) for w in t)
-        return base, sum(math.log10(self.p(v, w)) for v, w in zip(["<s>", *t[:-1]], t))
+        return base, sum(math.log10(self.p(*g)) for g in self.grams(t))
 
 
 def test_scores_as_by_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
     out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in (d["doc_id"] for d in docs)}
-    model = Brute([d["text"] for d in docs if not out[d["doc_id"]]])
-    assert sum(model.p("the", w) for w in model.count) + model.p("the", "?") == pytest.approx(1)
+    learnt = [d["text"] for d in docs if not out[d["doc_id"]]]
+    model = Brute(learnt)
+    first, second = model.grams(tokens(learnt[0]))[3][:2]
+    for context in [("<s>", "<s>"), ("<s>", first), (first, second), ("?", "the"), ("?", "?")]:
+        assert sum(model.p(*context, w) for w in model.count) + model.p(*context, "?") == pytest.approx(1)
     texts = {d["doc_id"]: d["text"] for d in docs}
     rows = queries.op2_kneser_ney_scores(spark, SMALL).collect()
     assert len(rows) == len(docs)
     held, base = 0.0, 0.0
-    known = {w: model.q(w) for w in [*model.count, "?"]}
-    model.q = lambda w: known.get(w, known["?"])
     for r in rows:
         want = model.scores(texts[r["doc_id"]])
         t = tokens(texts[r["doc_id"]])
@@ -74,6 +84,38 @@ def test_scores_as_by_brute_force(spark):
     assert held > base  # the model beats word frequencies on texts it has not seen
 
 
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_every_order_as_by_brute_force(odd_docs, order):
+    texts = [r["text"] for r in odd_docs.collect()]
+    model = Brute(texts, order)
+    rows = language_model.score_texts(odd_docs, F.lit(False), order).collect()
+    known = [r["score"] for r in rows]
+    assert sorted(known) == pytest.approx(sorted(model.scores(t)[1] for t in texts), rel=1e-6)
+
+
+def test_longer_grams_tell_held_out_texts_better(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    sums = []
+    for order in (1, 2, 3):
+        scored = language_model.score_texts(docs, held, order)
+        sums.append(scored.where("held_out").agg(F.sum("score")).first()[0])
+    assert sums[0] < sums[1] < sums[2]
+
+
+def test_large_counts_and_equal_beginnings(tmp_path):
+    bits, once = 5, (1, 1, 1, 0, 0)
+    keys = np.sort(np.concatenate([np.arange(40, dtype=np.uint64) << np.uint64(19), [np.uint64(2**59 - 1)]]))
+    values = [np.array([1] * 41), np.array([1] * 41), np.array([1] * 41), np.zeros(41, int), np.zeros(41, int)]
+    values[0][3], values[1][4], values[2][5] = 200, 70_000, 2**40
+    language_model.gram_arrays.save(str(tmp_path), 2, 0, bits, keys, values, once)
+    language_model.store.seal(str(tmp_path), 1, "grams2")
+    found = language_model.gram_arrays.Grams(str(tmp_path), 2, bits, once).find(keys)
+    assert (found == np.array(values)).all()
+    absent = language_model.gram_arrays.Grams(str(tmp_path), 2, bits, once).find(keys[:-1] + np.uint64(1 << 40))
+    assert not absent.any()
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = language_model.score_texts(odd_docs, F.lit(False)).collect()
     assert len(rows) == odd_docs.count()
@@ -91,6 +133,7 @@ def test_what_is_gathered_grows_with_the_corpus(spark, tmp_path):
         bits = language_model.store.shard_bits(docs)
         folder = tmp_path / str(n)
         folder.mkdir()
-        total = language_model._count_words(language_model._count_pairs(docs, bits, str(folder)), str(folder))
-        sizes.append((total["pairs"], sum(p.stat().st_size for p in folder.iterdir())))
+        language_model._count_words(docs, bits, str(folder))
+        totals = language_model._count_grams(docs, 3, bits, str(folder))
+        sizes.append((totals[2, 5], sum(p.stat().st_size for p in folder.iterdir())))
     assert sizes[1][0] > 2 * sizes[0][0] and sizes[1][1] > 1.8 * sizes[0][1]
