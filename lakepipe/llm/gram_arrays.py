@@ -138,14 +138,17 @@ class Grams:
         shards, edges = store.shard_edges(keys, self.bits)
         for shard, begin, end in zip(shards, edges[:-1], edges[1:], strict=True):
             hi, lo = _cut(keys[begin:end], self.bits)
+            rest = np.arange(len(hi))
             for stored_hi, stored_lo, values in self._of(int(shard)):
-                at, left = np.searchsorted(stored_hi, hi), np.arange(len(hi))
+                at, left, absent = np.searchsorted(stored_hi, hi[rest]), np.arange(len(rest)), np.ones(len(rest), bool)
                 while len(left):
                     left = left[at[left] < len(stored_hi)]
-                    left = left[stored_hi[at[left]] == hi[left]]
-                    same = stored_lo[at[left]] == lo[left]
+                    left = left[stored_hi[at[left]] == hi[rest[left]]]
+                    same = stored_lo[at[left]] == lo[rest[left]]
+                    hit, left = left[same], left[~same]
                     for row, value in zip(out, values, strict=True):
-                        row[begin + left[same]] = value if np.isscalar(value) else value[at[left[same]]]
-                    left = left[~same]
+                        row[begin + rest[hit]] = value if np.isscalar(value) else value[at[hit]]
+                    absent[hit] = False
                     at[left] += 1
+                rest = rest[absent]
         return out

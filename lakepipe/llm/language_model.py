@@ -201,16 +201,20 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFr
             count, columns = count[at], _grams(number[at], starts, order)
             p = np.full(len(tokens), 1 / (v + 1))
             ones, twos, _, _, often, whole, _ = totals[0].astype(float)  # the context of a single word is empty
+            heads = starts[:-1]
             for level, (grams, cut) in enumerate(zip(levels, cuts, strict=True), start=1):
-                keys, at = np.unique(gram_arrays.keys_of(columns[-level:]), return_inverse=True)
-                c = grams.find(keys)[0][at]
-                if level > 1:
-                    keys, at = np.unique(gram_arrays.keys_of(columns[-level:-1]), return_inverse=True)
-                    _, whole, ones, twos, often = levels[level - 2].find(keys)[:, at]
+                keys = gram_arrays.keys_of(columns[-level:])
+                begin = gram_arrays.keys_of([np.array([BEGIN], np.uint64)] * level)
+                keys, at = np.unique(np.concatenate([begin, keys]), return_inverse=True)
+                found = grams.find(keys)
+                c = found[0][at[1:]]
                 left = cut[0] * ones + cut[1] * twos + cut[2] * often
                 p = np.where(whole > 0, (_less(c, cut) + left * p) / np.maximum(whole, 1), p)
+                if level < order:  # the context of the level above is this level's gram that ends one word before
+                    at = at[:-1]
+                    at[heads] = np.searchsorted(keys, begin[0])
+                    _, whole, ones, twos, often = found[:, at]
             base = np.log10((count + 1) / (n + v + 1))
-            heads = starts[:-1]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
