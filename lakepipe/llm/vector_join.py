@@ -14,7 +14,8 @@ by one.
 Defined results: equal vectors with the same label are one class and link with each other; vectors
 that are null, empty, zero or hold a null or non-finite component, and rows without a label or an id,
 link with nothing; only vectors of the same length are compared; a row without an id has no component
-and is not kept. Rows that share an id are separate vectors. Other columns are ignored.
+and is not kept. Rows that share an id are separate vectors. Other columns are ignored, whatever their names.
+Very large and very small components are compared like any others.
 """
 
 from __future__ import annotations
@@ -102,11 +103,19 @@ def near_vectors(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding, label)."""
     rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector"))
+    largest = F.aggregate("vector", F.lit(0.0), lambda top, v: F.greatest(top, F.abs(v)))
+    rows = rows.withColumn("largest", largest)
+    # Scaled by a power of two, which is exact, so that no square overflows or vanishes; cosines stay as they are.
+    power = F.when(F.col("largest") < float("inf"), -F.floor(F.log2("largest")))
+    half = F.floor(power / 2)
+    rows = rows.withColumn(
+        "vector", F.transform("vector", lambda v: v * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half))
+    )
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, v: t + v * v))
-    # A null or non-finite component makes the norm null, NaN or infinite.
+    # A null component makes the norm null; the largest component is 0, NaN or infinite where the others are unusable.
     rows = rows.withColumn("norm", norm)
-    usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.col("norm") > 0)
-    usable &= ~F.isnan("norm") & (F.col("norm") < float("inf"))
+    usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.col("largest") > 0)
+    usable &= F.col("norm").isNotNull() & ~F.isnan("norm") & (F.col("largest") < float("inf"))
     classes = rows.where(usable).groupBy("label", "vector").agg(
         F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.first("norm").alias("norm")
     )

@@ -103,3 +103,17 @@ def test_recall_of_the_buckets(cosine, least):
     a, b = (vector_join.buckets(v, salt, 10, 3) for v in (x, y))
     hit = [len(set(p) & set(q)) > 0 for p, q in zip(a.tolist(), b.tolist())]
     assert np.mean(hit) >= least
+
+
+def test_squares_that_overflow_or_vanish(spark):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=70)
+    centre /= np.linalg.norm(centre)
+    other = near(rng, centre, 0.5)
+    rows = []
+    for k, scale in enumerate([1.0, 1e300, 1e-300, 2.0**-1000, 1e308]):
+        rows += [(4 * k, near(rng, centre, 0.99) * scale * 0.5, 1), (4 * k + 1, other * scale * 0.5, 1)]
+    rows = [(i, [float(x) for x in v], label, "clash") for i, v, label in rows]
+    schema = "vec_id long, embedding array<double>, label int, largest string"
+    out = vector_join.near_vectors(spark.createDataFrame(rows, schema)).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == {r[0]: (4, r[0] % 4) for r in rows}
