@@ -108,9 +108,10 @@ def near_vectors(
     # Scaled by a power of two, which is exact, so that no square overflows or vanishes; cosines stay as they are.
     power = F.when(F.col("largest") < float("inf"), -F.floor(F.log2("largest")))
     half = F.floor(power / 2)
-    rows = rows.withColumn(
-        "vector", F.transform("vector", lambda v: v * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half))
-    )
+    factors = F.struct(F.pow(F.lit(2.0), half).alias("x"), F.pow(F.lit(2.0), power - half).alias("y"))
+    # The outer function binds the factors once per row; named in the inner one, they would be found again per component.
+    scaled = F.transform(F.array(factors), lambda f: F.transform("vector", lambda v: v * f["x"] * f["y"]))[0]
+    rows = rows.withColumn("vector", scaled)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, v: t + v * v))
     # A null component makes the norm null; the largest component is 0, NaN or infinite where the others are unusable.
     rows = rows.withColumn("norm", norm)
