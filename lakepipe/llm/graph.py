@@ -54,13 +54,14 @@ def components(links: DataFrame) -> DataFrame:
     return named.union(roots).select(F.col("src").alias("node"), "component")
 
 
-def across_blocks(members: DataFrame, keep=None) -> DataFrame:
+def across_blocks(members: DataFrame, keep=None, complete=lambda mixed: mixed) -> DataFrame:
     """Pairs (a, b) of nodes that share a bucket but not a block, as often as they share one.
 
     ``members`` has bucket, node, block and what ``keep(x, y)`` reads to refuse a pair of rows. Each
     bucket's largest block is paired with the rest of the bucket, and the rest with itself; a bucket
     of a single block has no rest and gives nothing, whatever its size. ``keep`` is part of the join's
-    condition, so refused pairs are never rows.
+    condition, so refused pairs are never rows. ``complete`` adds columns that only ``keep`` reads to the
+    members of buckets of several blocks.
     """
     blocks = members.groupBy("bucket", "block").agg(F.count(F.lit(1)).alias("n"))
     largest = blocks.groupBy("bucket").agg(
@@ -68,7 +69,7 @@ def across_blocks(members: DataFrame, keep=None) -> DataFrame:
     )
     # Written, so that the join has exchanges of its own, whose hot partitions Spark can split.
     largest = written_once(largest.where("blocks > 1").drop("blocks"), "largest")
-    mixed = written_once(members.join(largest, "bucket"), "mixed")
+    mixed = written_once(complete(members.join(largest, "bucket")), "mixed")
     rest = mixed.where("block <> largest")
 
     def paired(left, right, apart):

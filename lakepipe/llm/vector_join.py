@@ -9,7 +9,8 @@ so ten miss one in 100,000; closer pairs are missed far more rarely.
 Dense groups do not cost their square. Vectors within half the angle of the threshold of one centre
 are all linked with each other, whatever the pair; a first pass finds centres (the first vector of
 each bucket) and counts such a block's links from its size. Only pairs across blocks are verified one
-by one.
+by one. Two vectors may share up to 80 buckets; their pair becomes a row only in the first table they
+share and there in the bucket of their least shared axes, which the axes of both tell (see ``_meet_here``).
 
 Defined results: equal vectors with the same label are one class and link with each other; vectors
 that are null, empty, zero or hold a null or non-finite component, and rows without a label or an id,
@@ -62,20 +63,32 @@ def nearest_axes(x: np.ndarray, seed: int) -> np.ndarray:
     return np.stack([best, 2 * second + (v[rows, second] > 0)], axis=1)
 
 
+def axes_of(x: np.ndarray, tables: int, hashes: int) -> np.ndarray:
+    """(rows, tables, hashes, 2): the two nearest axes of every hash, the smaller number first."""
+    found = [nearest_axes(x, seed) for seed in range(tables * hashes)]
+    return np.sort(np.stack(found, axis=1), axis=2).reshape(len(x), tables, hashes, 2)
+
+
 def buckets(x: np.ndarray, salt: np.ndarray, tables: int, hashes: int) -> np.ndarray:
     """(rows, tables * 2 ** hashes) bucket numbers; ``salt`` separates labels and lengths."""
+    return _buckets(axes_of(x, tables, hashes), salt)
+
+
+def _buckets(axes: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    _, tables, hashes, _ = axes.shape
     out = []
     for table in range(tables):
-        axes = [nearest_axes(x, table * hashes + h) for h in range(hashes)]
         for probe in range(2**hashes):
             key = mix(salt + np.uint64(table + 1))
             for h in range(hashes):
-                key = mix(key * np.uint64(31) + axes[h][:, probe >> h & 1].astype(np.uint64))
+                key = mix(key * np.uint64(31) + axes[:, table, h, probe >> h & 1].astype(np.uint64))
             out.append(key)
     return np.stack(out, axis=1)
 
 
-def _entries(tables: int, hashes: int):
+def _hashed(tables: int, hashes: int):
+    """Per node its bucket numbers, table by table and probe by probe, and the two axes of every hash as one number."""
+
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 2000):
@@ -88,16 +101,59 @@ def _entries(tables: int, hashes: int):
                 for width in np.unique(sizes):
                     rows = np.flatnonzero(sizes == width)
                     starts = np.concatenate([[0], np.cumsum(sizes)])[rows]
-                    x = flat[starts[:, None] + np.arange(width)]
-                    found = buckets(x, mix(label[rows] + np.uint64(width)), tables, hashes)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.reshape(-1).view(np.int64)), pa.array(np.repeat(node[rows], found.shape[1]))],
-                        names=["bucket", "node"],
-                    )
+                    axes = axes_of(flat[starts[:, None] + np.arange(width)], tables, hashes)
+                    found = _buckets(axes, mix(label[rows] + np.uint64(width)))
+                    both = (axes[..., 0] << 32 | axes[..., 1]).reshape(len(rows), -1)
+                    columns = [_lists(found.view(np.int64)), pa.array(node[rows]), _lists(both)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["buckets", "node", "axes"])
 
     return enter
 
 
+def _lists(values: np.ndarray) -> pa.ListArray:
+    ends = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.reshape(-1)))
+
+
+def _meet_here(tables: int, hashes: int):
+    """Whether the bucket of two rows is the one in which their pair is a row.
+
+    Rows have ``axes`` (two numbers per hash, the smaller in the upper half) and ``place``, which of its
+    node's buckets the row is: the table, and per hash a bit that is set for the larger axis. Two nodes
+    share a table if they share an axis of each of its hashes. Their first table counts, and in it the
+    least shared axis of each hash: the larger one of both only if their smaller ones differ.
+    """
+
+    def both(x, y, h):
+        return F.col(f"{x}.axes")[h], F.col(f"{y}.axes")[h]
+
+    def low(axes):
+        return F.shiftright(axes, 32)
+
+    def high(axes):
+        return axes.bitwiseAND(0xFFFFFFFF)
+
+    def shared(x, y, table):
+        met = F.lit(True)
+        for h in range(table * hashes, (table + 1) * hashes):
+            a, b = both(x, y, h)
+            met &= (low(a) == low(b)) | (high(a) == high(b)) | (low(a) == high(b)) | (high(a) == low(b))
+        return met
+
+    def condition(x, y):
+        place, other = F.col(f"{x}.place"), F.col(f"{y}.place")
+        first = F.coalesce(*[F.when(shared(x, y, t), t) for t in range(tables)])
+        least = F.shiftright(place, hashes) == first
+        for h in range(hashes):
+            at = F.shiftright(place, hashes) * hashes + h
+            a, b = both(x, y, at)
+            larger = place.bitwiseAND(other).bitwiseAND(1 << h) != 0
+            least &= ~(larger & (low(a) == low(b)))
+        return least
+
+    return condition
+
+
 def near_vectors(
     vectors: DataFrame, threshold: float = 0.93, tables: int = 10, hashes: int = 3
 ) -> DataFrame:
@@ -122,7 +178,9 @@ def near_vectors(
     )
     classes = written_once(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     keyed = classes.select("node", F.xxhash64("label").alias("label_key"), "vector")
-    entries = written_once(keyed.mapInArrow(_entries(tables, hashes), "bucket long, node long"), "entries")
+    kinds = "buckets array<bigint>, node long, axes array<bigint>"
+    hashed = written_once(keyed.mapInArrow(_hashed(tables, hashes), kinds), "hashed")
+    entries = hashed.select("node", F.posexplode("buckets").alias("place", "bucket"))
 
     def side(name):
         return classes.select(
@@ -140,7 +198,8 @@ def near_vectors(
 
     # First pass: every bucket's vectors against its first one. The margin is far above rounding errors.
     hubs = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("hub")).where("m > 1")
-    star = entries.join(hubs, "bucket").where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    met = written_once(entries.join(hubs.drop("m"), "bucket"), "met")
+    star = met.where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     star = written_once(with_cosine(star.distinct()), "star")
     inside = math.cos(math.acos(threshold) / 2) + 1e-9
     centres = star.where(F.col("cosine") >= inside).groupBy("a").agg(F.min("b").alias("centre"))
@@ -148,11 +207,12 @@ def near_vectors(
         centres.select(F.col("a").alias("node"), "centre"), "node", "left"
     )
     blocked = written_once(blocked.withColumn("block", F.coalesce("centre", "node")).drop("centre"), "blocks")
-    members = written_once(
-        entries.join(blocked, "node").select("bucket", "node", "block"), "members"
-    )
+    members = met.join(blocked.select("node", "block"), "node").select("bucket", "node", "block", "place")
     # Second pass: pairs across blocks. A hub and its members meet here too unless they are one block.
-    links = written_once(with_cosine(graph.across_blocks(members).distinct()), "links")
+    # Each pair is one row; only equal bucket numbers of unlike axes, and a single axis, can repeat it.
+    axes = hashed.select("node", "axes")
+    pairs = graph.across_blocks(members, _meet_here(tables, hashes), lambda mixed: mixed.join(axes, "node"))
+    links = written_once(with_cosine(pairs.distinct()), "links")
 
     sizes = blocked.groupBy("block").agg(F.sum("copies").alias("together"))
     outside = links.select(F.col("a").alias("node"), F.col("b_copies").alias("other")).union(

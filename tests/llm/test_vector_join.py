@@ -3,8 +3,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lakepipe.llm import queries, vector_join
+from lakepipe.llm import graph, queries, vector_join
+from lakepipe.session import importable_by_workers
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -117,3 +119,33 @@ def test_squares_that_overflow_or_vanish(spark):
     schema = "vec_id long, embedding array<double>, label int, largest string"
     out = vector_join.near_vectors(spark.createDataFrame(rows, schema)).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == {r[0]: (4, r[0] % 4) for r in rows}
+
+
+def loose_cluster(n, cosine):
+    """``n`` vectors so far from their centre that few of them share a block."""
+    rng = np.random.default_rng(12)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    return [[float(x) for x in near(rng, centre, cosine)] for _ in range(n)]
+
+
+@pytest.mark.parametrize("tables,hashes,width", [(10, 3, 64), (4, 2, 5), (3, 2, 1)])
+def test_a_pair_is_one_row(spark, tables, hashes, width):
+    vectors = [v[:width] for v in loose_cluster(300, 0.966)]
+    rows = [(node, 7, v) for node, v in enumerate(vectors)]
+    frame = importable_by_workers(spark).createDataFrame(rows, "node long, label_key long, vector array<double>")
+    kinds = "buckets array<bigint>, node long, axes array<bigint>"
+    hashed = frame.mapInArrow(vector_join._hashed(tables, hashes), kinds).cache()
+    members = hashed.select("node", "axes", F.posexplode("buckets").alias("place", "bucket")).withColumn("block", F.col("node"))
+    members = members.where("node % 10 > 0 OR node = 0").withColumn("block", F.expr("IF(node % 10 < 3, 0, node)"))
+    every = [tuple(r) for r in graph.across_blocks(members.drop("axes", "place")).collect()]
+    once = [tuple(r) for r in graph.across_blocks(members, vector_join._meet_here(tables, hashes)).collect()]
+    assert set(once) == set(every) and len(every) > 2 * len(set(every))
+    assert len(once) == len(set(once)) or width == 1
+
+
+def test_loose_cluster(spark):
+    table = [(i, v, 1) for i, v in enumerate(loose_cluster(500, 0.966))]
+    got = found(spark, table)
+    assert got == brute(table)
+    assert sum(links for _, links, _, _ in got) > 100_000
