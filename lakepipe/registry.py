@@ -15,14 +15,13 @@ from lakepipe.ml import features, metrics, runs, split
 from lakepipe.ml.scoring import as_predictions, score_users
 from lakepipe.ml.training import apply, train_all, train_and_log
 from lakepipe.operators import cleaning, gold, incremental, quality, reports, sketches
-from lakepipe.operators.zorder import zorder
+from lakepipe.operators.layout import laid_out
 from lakepipe.plans import report_sql
 from lakepipe.plans.verify import layer_checks
 from lakepipe.session import scratch_dir, written_once
 from lakepipe.sources import catalog, tables
 from lakepipe.sources.adapted import raw_events
 from lakepipe.sources.feed import read_csv_events, stamp_ingestion
-from lakepipe.sources.versions import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -57,10 +56,6 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.with_label(_users(spark, sf_dir))
 
 
-def _store(spark: SparkSession, purpose: str) -> Store:
-    return Store(spark, scratch_dir(spark, purpose))
-
-
 # Two fixed scoring rules stand in for models where a result must be reproducible in plain SQL.
 def _rule_scored(labelled: DataFrame, score: Column, threshold: float) -> DataFrame:
     scored = labelled.withColumn("score", score)
@@ -248,28 +243,27 @@ def incremental_changes(spark, sf_dir):
 
 @query
 def publish_history(spark, sf_dir):
-    store = _store(spark, "history")
-    bronze = store.publish(stamp_ingestion(raw_events(spark, sf_dir)), schemas.BRONZE)
-    store.publish(_silver(spark, sf_dir), schemas.SILVER)
-    store.publish(zorder(bronze, ["user_id", "event_type"], 4), schemas.BRONZE, "OPTIMIZE")
+    schema = catalog.scratch_schema(spark, "history")
+    bronze, silver = f"{schema}.bronze_events", f"{schema}.silver_events"
+    catalog.publish_version(stamp_ingestion(raw_events(spark, sf_dir)), bronze)
+    catalog.publish_version(_silver(spark, sf_dir), silver)
+    catalog.publish_version(laid_out(catalog.version(spark, bronze, 0), ["user_id", "event_type"], 4), bronze, "OPTIMIZE")
     listed = [
-        store.history(name).select(
-            F.lit(name).alias("table_name"),
-            "version",
-            "operation",
-            F.col("operationMetrics")["numOutputRows"].cast("bigint").alias("rows_written"),
+        catalog.history(spark, table).select(
+            F.lit(name).alias("table_name"), catalog.VERSION, catalog.OPERATION, F.col("rows").alias("rows_written")
         )
-        for name in (schemas.BRONZE, schemas.SILVER)
+        for name, table in ((schemas.BRONZE, bronze), (schemas.SILVER, silver))
     ]
     return reduce(DataFrame.unionByName, listed)
 
 
 @query
 def zorder_rewrite(spark, sf_dir):
-    store = _store(spark, "zorder")
-    bronze = store.publish(stamp_ingestion(raw_events(spark, sf_dir)), schemas.BRONZE)
-    rewritten = store.publish(zorder(bronze, ["user_id", "event_type"], 8), schemas.BRONZE, "OPTIMIZE")
-    return _wall_clock(rewritten.drop("ingestion_ts"))
+    """The rows of a bronze table after they were laid out anew; named for the command that it stands for."""
+    table = f"{catalog.scratch_schema(spark, 'layout')}.events"
+    catalog.publish_version(stamp_ingestion(raw_events(spark, sf_dir)), table)
+    catalog.publish_version(laid_out(catalog.version(spark, table, 0), ["user_id", "event_type"], 8), table, "OPTIMIZE")
+    return _wall_clock(catalog.version(spark, table).drop("ingestion_ts"))
 
 
 # --- quality and cleaning -----------------------------------------------------------------------

@@ -15,6 +15,7 @@ from lakepipe.session import scratch_dir
 from lakepipe.sources.tables import require_schema
 
 DAY = "event_date"
+VERSION, OPERATION = "version", "operation"
 ROWS = "rows"
 
 
@@ -121,3 +122,50 @@ def publish_bucketed(frame: DataFrame, table: str, key: str, buckets: int) -> di
 def files_by_day(spark: SparkSession, table: str) -> DataFrame:
     """(day, file) of every file of a table partitioned by day; reads no column."""
     return spark.table(table).select(DAY, F.col("_metadata.file_path").alias("file")).distinct()
+
+
+def publish_version(frame: DataFrame, table: str, operation: str = "WRITE") -> dict[str, int]:
+    """Add ``frame`` as the table's next version, from 0, and return the write's counts.
+
+    A later version must have exactly the columns and types of the first. ``frame`` may come from an older version.
+    A write that dies leaves no version: Spark adds the partition to the catalog when all files are there.
+    """
+    if not operation.isidentifier():
+        raise ValueError(f"an operation is a plain word, not {operation!r}")
+    spark, number = frame.sparkSession, 0
+    if spark.catalog.tableExists(table):
+        expected = spark.table(table).drop(VERSION, OPERATION).schema
+        require_schema(frame, expected, table)
+        frame = frame.select(*expected.names)
+        number = 1 + max((r[VERSION] for r in _versions(spark, table).collect()), default=-1)
+    counted, counts = observed(frame)
+    labelled = counted.withColumns({VERSION: F.lit(number).cast("bigint"), OPERATION: F.lit(operation)})
+    labelled.write.mode("append").partitionBy(VERSION, OPERATION).saveAsTable(table)
+    written = _written(counts, frame, table)
+    if not written[ROWS]:  # Spark writes no file for it, but the version exists
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({VERSION} = {number}, {OPERATION} = '{operation}')")
+    return written
+
+
+def _versions(spark: SparkSession, table: str) -> DataFrame:
+    """(version, operation) as the catalog lists them; one row per version, reads no file."""
+    return spark.sql(f"SHOW PARTITIONS {table}").select(
+        F.regexp_extract("partition", f"{VERSION}=([0-9]+)/", 1).cast("bigint").alias(VERSION),
+        F.regexp_extract("partition", f"/{OPERATION}=(.*)$", 1).alias(OPERATION),
+    )
+
+
+def version(spark: SparkSession, table: str, number: int | None = None) -> DataFrame:
+    """The rows of a version, by default of the newest one; only its partition is read."""
+    known = [r[VERSION] for r in _versions(spark, table).collect()]
+    number = max(known, default=None) if number is None else number
+    if number not in known:
+        raise LookupError(f"{table} has no version {number}")
+    return spark.table(table).where(F.col(VERSION) == number).drop(VERSION, OPERATION)
+
+
+def history(spark: SparkSession, table: str) -> DataFrame:
+    """(version, operation, rows) of every version, newest first; rows are counted from the files' footers."""
+    rows = spark.table(table).groupBy(VERSION).agg(F.count(F.lit(1)).alias("rows"))
+    listed = _versions(spark, table).join(rows, VERSION, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    return listed.select(VERSION, OPERATION, "rows").orderBy(F.desc(VERSION))
