@@ -21,7 +21,10 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from itertools import islice
 
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakepipe.session import written_once
@@ -167,14 +170,32 @@ def _cuts(labelled: DataFrame) -> dict[str, list[float]]:
     return cuts
 
 
+def _placed(labelled: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """``labelled`` with ``places``: a sparse vector with a 1 at the bin of each statistic, all statistics' bins in a row."""
+
+    def bin_of(statistic: str) -> Column:
+        edges = F.array(*[F.lit(c) for c in cuts[statistic]]).cast("array<double>")
+        return F.size(F.filter(edges, lambda edge: edge < F.col(statistic)))
+
+    names = F.array(*[F.concat(F.lit(f"{s} "), bin_of(s).cast("string")) for s in STATISTICS])
+    places = [f"{s} {k}" for s in STATISTICS for k in range(len(cuts[s]) + 1)]
+    vectors = CountVectorizerModel.from_vocabulary(places, inputCol="names", outputCol="places")
+    return vectors.transform(labelled.select("bad", "grow", *STATISTICS, names.alias("names"))).drop("names")
+
+
+def _tally(rows: DataFrame) -> DataFrame:
+    """The numbers of bad and of good rows at every place; a task adds its rows up in place and sends one vector for each."""
+    return rows.groupBy("bad").agg(Summarizer.numNonZeros(F.col("places")).alias("n"))
+
+
 def _counts(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, list[tuple[int, int]]]:
     """For every statistic and bin the numbers of bad and of good rows."""
-    bins = rows.select("bad", F.posexplode("bins").alias("statistic", "bin")).groupBy("statistic", "bin")
-    found = bins.agg(F.sum("bad").alias("p"), F.count(F.lit(1)).alias("all")).collect()
-    table = {s: [(0, 0)] * (len(cuts[s]) + 1) for s in STATISTICS}
-    for row in found:
-        table[STATISTICS[row["statistic"]]][row["bin"]] = (row["p"], row["all"] - row["p"])
-    return table
+    size = sum(len(cuts[s]) + 1 for s in STATISTICS)
+    found = {True: [0] * size, False: [0] * size}
+    for row in _tally(rows).collect():
+        found[row["bad"] == 1] = [int(n) for n in row["n"]]
+    pairs = iter(zip(found[True], found[False], strict=True))
+    return {s: list(islice(pairs, len(cuts[s]) + 1)) for s in STATISTICS}
 
 
 def _best(
@@ -197,30 +218,21 @@ def _best(
     return best
 
 
-def learn(labelled: DataFrame) -> DecisionList:
-    """A list for ``labelled``: STATISTICS, ``bad`` (1 for texts to reject, else 0) and ``grow`` (else the row prunes)."""
-    cuts = _cuts(labelled)
-
-    def bin_of(statistic: str) -> Column:
-        edges = F.array(*[F.lit(c) for c in cuts[statistic]]).cast("array<double>")
-        return F.size(F.filter(edges, lambda edge: edge < F.col(statistic)))
+def _next_rule(left: DataFrame, cuts: dict[str, list[float]]) -> list[Condition] | None:
+    """The first rule for the rows in ``left`` that is precise; each begins with another statistic or direction.
 
-    bins = [bin_of(s) for s in STATISTICS]
-    table = written_once(labelled.select("bad", "grow", *STATISTICS, F.array(*bins).alias("bins")), "labelled")
-    learned = DecisionList()
-    tried: set[tuple[str, bool]] = set()  # first conditions that led to no rule on the rows that are left
+    All begin on the same rows, which are counted once.
+    """
+    start = _counts(left.where("grow"), cuts)
+    tried: set[tuple[str, bool]] = set()  # first conditions that led to no rule
     while True:
-        left = table.where(learned.keeps())
-        if left.where("bad = 1").count() < LEAST_COVERED:
-            break
         rule: list[Condition] = []
-        while True:
-            _, condition = _best(_counts(left.where(F.col("grow") & _all(rule)), cuts), cuts, set() if rule else tried)
-            if condition is None:
-                break
+        _, condition = _best(start, cuts, tried)
+        while condition is not None:
             rule.append(condition)
+            _, condition = _best(_counts(left.where(F.col("grow") & _all(rule)), cuts), cuts)
         if not rule:
-            break
+            return None
         prefixes = range(1, len(rule) + 1)
         sums = left.agg(
             *[
@@ -236,11 +248,24 @@ def learn(labelled: DataFrame) -> DecisionList:
         worth = {k: (sums[f"p1{k}"] - sums[f"p0{k}"]) / (sums[f"p1{k}"] + sums[f"p0{k}"] + 2) for k in prefixes}
         size = max(prefixes, key=lambda k: (worth[k], -k))
         bad, good = (sums[f"g{c}{size}"] + sums[f"p{c}{size}"] for c in (1, 0))
-        if bad < LEAST_COVERED or bad < LEAST_PRECISION * (bad + good):
-            tried.add((rule[0].statistic, rule[0].above))
-            continue
-        learned.rules.append(rule[:size])
-        tried = set()
+        if bad >= LEAST_COVERED and bad >= LEAST_PRECISION * (bad + good):
+            return rule[:size]
+        tried.add((rule[0].statistic, rule[0].above))
+
+
+def learn(labelled: DataFrame) -> DecisionList:
+    """A list for ``labelled``: STATISTICS, ``bad`` (1 for texts to reject, else 0) and ``grow`` (else the row prunes)."""
+    cuts = _cuts(labelled)
+    table = written_once(_placed(labelled, cuts), "labelled")
+    learned = DecisionList()
+    while True:
+        left = table.where(learned.keeps())
+        if left.where("bad = 1").count() < LEAST_COVERED:
+            break
+        rule = _next_rule(left, cuts)
+        if rule is None:
+            break
+        learned.rules.append(rule)
     return learned
 
 

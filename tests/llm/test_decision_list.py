@@ -111,3 +111,44 @@ def test_learning_goes_on_until_no_rule_passes(spark):
     frame = frame.withColumn("bad", (kind < 10).cast("int"))
     rules = decision_list.learn(frame)
     assert len(rules.rules) >= 10 and frame.where(rules.keeps() == (F.col("bad") == 1)).isEmpty()
+
+
+def noisy(spark):
+    """One clear kind of bad text, and six that no rule tells from the good ones."""
+    hashed = {s: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 1000 for k, s in enumerate(decision_list.STATISTICS)}
+    hashed["symbol_share"] = F.when(F.col("id") % 10 == 0, 0.9).otherwise(0.1)
+    frame = spark.range(900).select("id", *[v.alias(s) for s, v in hashed.items()], (F.col("id") % 3 != 0).alias("grow"))
+    return frame.withColumn("bad", ((F.col("id") % 10 == 0) | F.col("id").isin(101, 202, 304, 407, 502, 603)).cast("int"))
+
+
+def test_rows_that_are_left_are_counted_once_for_all_first_conditions(spark, monkeypatch):
+    sizes, count, made = [], decision_list._counts, []
+
+    def counted(rows, cuts):
+        sizes.append(rows.count())
+        made.append(rows)
+        return count(rows, cuts)
+
+    monkeypatch.setattr(decision_list, "_counts", counted)
+    rules = decision_list.learn(noisy(spark)).rules
+    assert rules and str(rules[0][0].statistic) == "symbol_share"
+    grow = noisy(spark).where("grow").count()
+    left = noisy(spark).where("grow AND symbol_share < 0.5").count()
+    assert sizes.count(grow) == 1 and sizes.count(left) <= 1 and len(sizes) > 3
+    plan = decision_list._tally(made[0])._jdf.queryExecution().toString()
+    assert not re.search("Generate|Expand|Join|Python|Pandas|Arrow", plan)
+
+
+def test_counts_against_brute_force(spark):
+    frame = noisy(spark).withColumn("mean_word", F.when(F.col("id") % 7 != 0, F.col("mean_word")))
+    cuts = decision_list._cuts(frame) | {"loud_share": []}
+    rows = frame.collect()
+    for kept in (frame, frame.where("false"), frame.where("bad = 1")):
+        ids = {r["id"] for r in kept.select("id").collect()}
+        want = {s: [[0, 0] for _ in range(len(cuts[s]) + 1)] for s in decision_list.STATISTICS}
+        for r in rows:
+            for s in decision_list.STATISTICS:
+                if r["id"] in ids:
+                    want[s][sum(r[s] is not None and c < r[s] for c in cuts[s])][1 - r["bad"]] += 1
+        found = decision_list._counts(decision_list._placed(kept, cuts), cuts)
+        assert {s: [list(b) for b in bins] for s, bins in found.items()} == want
