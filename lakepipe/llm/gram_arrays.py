@@ -112,7 +112,7 @@ class Grams:
 
     def __init__(self, folder: str, level: int, bits: int, once: tuple):
         self.bits, self.once, self.name = bits, once, f"grams{level}"
-        self._shards, self._runs = store.Shards(folder, bits, self.name), {}
+        self._shards, self._runs = store.Shards(folder, bits, self.name, sealed=True), {}
 
     def _of(self, shard: int) -> list:
         if shard not in self._runs:

@@ -137,7 +137,7 @@ def _count_grams(texts: DataFrame, order: int, bits: int, folder: str) -> np.nda
     """Writes the arrays of all levels; returns their totals, a row per level."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = store.Shards(folder, bits, "word")
+        words = store.Shards(folder, bits, "word", sealed=True)
         for _, part in store.chunks(batches, "text", 16_000_000):
             tokens, starts = _tokens(part)
             kinds, at = np.unique(tokens, return_inverse=True)
@@ -192,7 +192,7 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFr
     cuts = [discounts(*map(float, t[:4])) for t in totals]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = store.Shards(folder, bits, "word")
+        words = store.Shards(folder, bits, "word", sealed=True)
         levels = [gram_arrays.Grams(folder, k, bits, _once(k, order)) for k in range(1, order + 1)]
         for batch, texts in store.chunks(batches, "text", 8_000_000):
             tokens, starts = _tokens(texts)

@@ -213,7 +213,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
     _count(docs, folder, bits, min_docs, min_tokens)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = store.Shards(folder, bits)
+        known = store.Shards(folder, bits, sealed=True)
         for batch, texts in store.chunks(batches, "text", 1_000_000):
             keys, lines, _, text_of, number = templates(texts, min_tokens)
             ids = np.array([_NO_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)

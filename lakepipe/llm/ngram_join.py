@@ -93,7 +93,7 @@ def _signatures(docs: DataFrame, width: int, percent: int, folder: str, bits: in
     """One row per document: set size, digest, sizes of the hash ranges; prefix and whole set if it can have a partner."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = store.Shards(folder, bits)
+        counts = store.Shards(folder, bits, sealed=True)
         low = np.uint64(32 - bits)
         for batch, texts in store.chunks(batches, "text", 1_000_000):
             grams, starts = _sets(texts, width)

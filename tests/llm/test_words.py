@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from lakepipe.llm import store
@@ -55,3 +56,19 @@ def test_look_ups_in_shards(tmp_path):
     found = store.Shards(str(tmp_path), 5).find(keys, ("value", np.int64, -1))[0]
     inside = (keys >> np.uint64(59)) != 3
     assert (found[inside] == (keys[inside] >> np.uint64(40)).astype(np.int64)).all() and (found[~inside] == -1).all()
+
+
+def test_tasks_need_the_record_of_a_sealed_folder(tmp_path):
+    keys = np.arange(1, 10, dtype=np.uint64) << np.uint64(59)
+    for k in range(1, 10):
+        store.save(str(tmp_path), k, key=keys[k - 1 : k], value=np.full(1, float(k)))
+    with pytest.raises(FileNotFoundError):
+        store.Shards(str(tmp_path), 5, sealed=True)
+    with pytest.raises(FileNotFoundError):
+        store.seal(str(tmp_path), 10)
+    store.seal(str(tmp_path), 9)
+    for sealed in (True, False):
+        assert store.Shards(str(tmp_path), 5, sealed=sealed).find(keys, "value")[0].tolist() == list(range(1, 10))
+    (tmp_path / "key-4.npy").rename(tmp_path / "elsewhere.npy")
+    with pytest.raises(FileNotFoundError):
+        store.Shards(str(tmp_path), 5, sealed=True).find(keys, "value")
